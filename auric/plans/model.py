@@ -190,6 +190,20 @@ class Model:
             self.mestre.select("usuario_mestre_id", "usuario_pseudo"), "usuario_mestre_id"
         ).select("usuario_id", "usuario_pseudo")
 
+    @cached_property
+    def comentario(self) -> DataFrame:
+        """Comments ← documents: free text, a grade and two tags per document."""
+        d = self.t("documents")
+        return d.select(
+            F.col("doc_id").alias("comentario_id"),
+            F.pmod("doc_id", F.lit(150)).alias("usuario_id"),
+            F.pmod("doc_id", F.lit(100)).alias("conteudo_id"),
+            (F.pmod("doc_id", F.lit(5)) + 1).cast("int").alias("avaliacao"),
+            F.col("text").alias("comentario"),
+            F.array("lang", "source").alias("tags"),
+            F.date_add(F.lit(dt.date(2024, 1, 1)), F.pmod("doc_id", F.lit(30)).cast("int")).alias("data"),
+        )
+
     @cached_property
     def embedding(self) -> DataFrame:
         e = self.t("embeddings")
@@ -201,13 +215,9 @@ class Model:
     # ---- Gold -------------------------------------------------------------
     @cached_property
     def fato_interacao(self) -> DataFrame:
-        i = self.interacao
-        return join_dim(i, self.person_of, "usuario_id").select(
-            "interacao_id", "usuario_pseudo", "conteudo_id", "tipo_interacao", "data_hora",
-            F.to_date("data_hora").alias("data"),
-            F.trunc(F.to_date("data_hora"), "month").alias("mes"),
-            "tempo_consumido", "percentual_conclusao", "avaliacao_atribuida",
-        )
+        from auric.operators import gold
+
+        return gold.fact_interaction(self.interacao, self.person_of)
 
     @cached_property
     def dim_conteudo(self) -> DataFrame:
