@@ -29,6 +29,7 @@ from auric.sources.tables import table
 
 # Fixed run parameters (determinism: no current_date() inside query keys).
 RUN_DATE = dt.date(2024, 2, 1)
+RUN_TS = dt.datetime(2024, 2, 1, 0, 0, 0)
 RECOMMENDED_AT = dt.datetime(2024, 1, 15, 0, 0, 0)
 PSEUDONYM_KEY = "chave-de-teste-pseudonimo-0001"
 HASH_SALT = "salt-de-teste-0000000000001"
@@ -59,6 +60,7 @@ class Model:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf = sf_dir
+        spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
         self.key = secret(spark, "spark.auric.pseudonym.key", PSEUDONYM_KEY, "pseudonym key")
         self.salt = secret(spark, "spark.auric.hash.salt", HASH_SALT, "hash salt")
 
@@ -212,6 +214,60 @@ class Model:
             F.col("embedding"),
         )
 
+    # ---- Bronze → classified Silver ---------------------------------------
+    def bronze(self, fonte: str) -> DataFrame:
+        from auric.plans import raw
+
+        return raw.bronze(self.spark, self.sf, fonte)
+
+    @cached_property
+    def cls_catalogo(self) -> DataFrame:
+        from auric.operators import classify
+
+        return classify.catalog(self.bronze("catalogo"))
+
+    @cached_property
+    def cls_usuarios(self) -> DataFrame:
+        from auric.operators import classify
+
+        return classify.users(self.bronze("usuarios"), RUN_DATE, self.key, self.salt)
+
+    @cached_property
+    def cls_interacoes(self) -> DataFrame:
+        from auric.operators import classify
+
+        return classify.events(self.bronze("interacoes"), RUN_TS,
+                               classify.accepted_keys(self.cls_usuarios, "usuario_id"),
+                               classify.accepted_keys(self.cls_catalogo, "conteudo_id", ["data_publicacao"]))
+
+    @cached_property
+    def cls_comentarios(self) -> DataFrame:
+        from auric.operators import classify
+
+        return classify.comments(self.bronze("comentarios"), RUN_DATE,
+                                 classify.accepted_keys(self.cls_usuarios, "usuario_id"),
+                                 classify.accepted_keys(self.cls_catalogo, "conteudo_id", ["data_publicacao"]))
+
+    @cached_property
+    def cls_recomendacoes(self) -> DataFrame:
+        from auric.operators import classify
+
+        return classify.recommendations(self.bronze("recomendacoes"),
+                                        classify.accepted_keys(self.cls_usuarios, "usuario_id"),
+                                        classify.accepted_keys(self.cls_catalogo, "conteudo_id"))
+
+    def classified(self) -> dict[str, DataFrame]:
+        return {"catalogo": self.cls_catalogo, "usuarios": self.cls_usuarios, "interacoes": self.cls_interacoes,
+                "comentarios": self.cls_comentarios, "recomendacoes": self.cls_recomendacoes}
+
+    @cached_property
+    def cls_todos(self) -> DataFrame:
+        out = None
+        for df in self.classified().values():
+            d = df.select("fonte", "_origem", "_linha", "regra", "severidade")
+            out = d if out is None else out.unionByName(d)
+        return out
+
     # ---- Gold -------------------------------------------------------------
     @cached_property
     def fato_interacao(self) -> DataFrame:

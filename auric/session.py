@@ -18,6 +18,10 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    # rule lists compile to wide CASE projections; inferring constraints over
+    # them costs more planning time than it saves
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 
@@ -65,3 +69,11 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     import uuid
 
     return f"{root.rstrip('/')}/auric-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stage(df, name: str = "stage"):
+    """Materialise ``df`` in the shared checkpoint folder and cut its lineage
+    (the staging table of a pipeline step). Reliable checkpoint only: the
+    data survives the loss of the executor that computed it."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
