@@ -188,7 +188,7 @@ SELECT v_usuario AS usuario_id, v_conteudo AS conteudo_id, v_tipo AS tipo_intera
   FROM c""")
 
 _TAGS = (f"(CASE WHEN {clean('tags')} IS NULL THEN CAST([] AS VARCHAR[]) "
-         f"WHEN json_valid(tags) AND json_type(tags) = 'ARRAY' THEN from_json(tags, '[\"VARCHAR\"]') END)")
+         f"WHEN json_type(CASE WHEN json_valid(tags) THEN tags ELSE 'null' END) = 'ARRAY' THEN from_json(tags, '[\"VARCHAR\"]') END)")
 CTES["cls_comentarios"] = (("bronze_comentarios", "cls_usuarios", "cls_catalogo"), f"""
 WITH tt AS (
   SELECT *, {prio()} AS prioridade, {rowhash(list(raw.COMMENT_COLS))} AS hash_origem,
