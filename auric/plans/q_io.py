@@ -1 +1,230 @@
-"""Queries."""
+"""Sources, sinks and cross-implementation checks.
+
+Round-trip keys write to a fresh folder under the shared checkpoint root and
+read back; their oracle is the source table itself.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from auric.operators import gold
+from auric.operators.joins import join_dim
+from auric.plans.registry import query
+from auric.plans.sqlmodel import CONSUMPTION, with_
+from auric.session import scratch_dir
+from auric.sources import export, files
+
+RUN_ID = "execucao-teste-0001"
+PART_COLS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
+
+
+def _csv_roundtrip(m):
+    src = m.t("part").select(*[F.col(c).cast("string").alias(c) for c in PART_COLS])
+    path = scratch_dir(m.spark, "csv")
+    src.write.option("header", True).csv(path)
+    return files.read_csv_by_header(m.spark, path, PART_COLS)
+
+
+query("src_csv_roundtrip", "SELECT " + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in PART_COLS)
+      + " FROM part")(_csv_roundtrip)
+
+EVENT_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
+    T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType()),
+])
+
+
+def _json_roundtrip(m):
+    path = scratch_dir(m.spark, "json")
+    m.t("events").write.option("timestampNTZFormat", export.TS_FORMAT).json(path)
+    return m.spark.read.schema(EVENT_SCHEMA).option("mode", "FAILFAST") \
+        .option("timestampNTZFormat", export.TS_FORMAT).json(path)
+
+
+query("src_json_roundtrip", "SELECT event_id, ts, user_id, event_type, value, props FROM events")(_json_roundtrip)
+
+query("src_json_path", """
+SELECT event_id, json_extract_string(props, '$.k') AS k, json_extract_string(props, '$.ausente') AS ausente
+  FROM events""")(
+    lambda m: m.t("events").select("event_id", F.get_json_object("props", "$.k").alias("k"),
+                                   F.get_json_object("props", "$.ausente").alias("ausente")))
+
+
+def _bronze_audit(m):
+    path = scratch_dir(m.spark, "bronze")
+    for fonte in ("catalogo", "usuarios", "interacoes", "comentarios", "recomendacoes"):
+        b = m.bronze(fonte).withColumn("_execucao_id", F.lit(RUN_ID)) \
+            .withColumn("_ingerido_em", F.current_timestamp()).select("_execucao_id", "_origem", "_linha",
+                                                                       "_ingerido_em")
+        files.append_bronze(b, f"{path}/{fonte}")
+    out = None
+    for fonte in ("catalogo", "usuarios", "interacoes", "comentarios", "recomendacoes"):
+        r = m.spark.read.parquet(f"{path}/{fonte}").groupBy("_execucao_id", "_origem").agg(
+            F.count(F.lit(1)).alias("linhas"), F.max("_linha").alias("ultima_linha")).withColumn(
+            "fonte", F.lit(fonte))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+query("bronze_audit_counts", with_(*[f"bronze_{f}" for f in ("catalogo", "usuarios", "interacoes", "comentarios",
+                                                              "recomendacoes")]) + "\nUNION ALL\n".join(
+    f"SELECT '{RUN_ID}' AS _execucao_id, _origem, count(*) AS linhas, max(_linha) AS ultima_linha, '{f}' AS fonte "
+    f"FROM bronze_{f} GROUP BY _origem"
+    for f in ("catalogo", "usuarios", "interacoes", "comentarios", "recomendacoes")))(_bronze_audit)
+
+# keyed upsert: yesterday's catalogue (4 of every 5 items) and today's delivery
+# (every item except multiples of 7, with a new title for every 3rd)
+OLD_SQL = "SELECT conteudo_id, titulo FROM conteudo WHERE conteudo_id % 5 <> 4"
+NEW_SQL = ("SELECT conteudo_id, CASE WHEN conteudo_id % 3 = 0 THEN titulo || ' v2' ELSE titulo END AS titulo "
+           "FROM conteudo WHERE conteudo_id % 7 <> 0")
+
+
+def _old(m):
+    return m.conteudo.where(F.pmod("conteudo_id", F.lit(5)) != 4).select("conteudo_id", "titulo")
+
+
+def _new(m):
+    return m.conteudo.where(F.pmod("conteudo_id", F.lit(7)) != 0).select(
+        "conteudo_id", F.when(F.pmod("conteudo_id", F.lit(3)) == 0, F.concat("titulo", F.lit(" v2")))
+        .otherwise(F.col("titulo")).alias("titulo"))
+
+
+query("upsert_merge", with_("conteudo") + f"""
+, old AS ({OLD_SQL}), new AS ({NEW_SQL})
+SELECT conteudo_id, titulo FROM new
+UNION ALL SELECT o.conteudo_id, o.titulo FROM old o WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.conteudo_id = o.conteudo_id)
+""")(lambda m: export.upsert(_old(m), _new(m), ["conteudo_id"]))
+
+query("reconcile_removed", with_("conteudo") + f"""
+, old AS ({OLD_SQL}), new AS ({NEW_SQL})
+SELECT 'conteudo' AS tabela, count(*) AS removidos FROM old WHERE conteudo_id NOT IN (SELECT conteudo_id FROM new)""")(
+    lambda m: export.removed_keys(_old(m), _new(m), ["conteudo_id"]).agg(
+        F.count(F.lit(1)).alias("removidos")).select(F.lit("conteudo").alias("tabela"), "removidos"))
+
+query("doc_upsert_counts", with_("comentario") + """
+, old AS (SELECT comentario_id, avaliacao FROM comentario WHERE comentario_id % 7 <> 0),
+new AS (SELECT comentario_id, CASE WHEN comentario_id % 5 = 0 THEN 6 - avaliacao ELSE avaliacao END AS avaliacao
+          FROM comentario WHERE comentario_id % 11 <> 0)
+SELECT count(*) FILTER (WHERE o.comentario_id IS NULL) AS inseridos,
+       count(*) FILTER (WHERE o.comentario_id IS NOT NULL AND n.comentario_id IS NOT NULL
+                         AND o.avaliacao IS DISTINCT FROM n.avaliacao) AS atualizados,
+       count(*) FILTER (WHERE n.comentario_id IS NULL) AS removidos,
+       count(*) FILTER (WHERE o.comentario_id IS NOT NULL AND n.comentario_id IS NOT NULL
+                         AND o.avaliacao IS NOT DISTINCT FROM n.avaliacao) AS inalterados
+  FROM old o FULL OUTER JOIN new n ON o.comentario_id = n.comentario_id""")(
+    lambda m: export.upsert_counts(
+        m.comentario.where(F.pmod("comentario_id", F.lit(7)) != 0).select("comentario_id", "avaliacao"),
+        m.comentario.where(F.pmod("comentario_id", F.lit(11)) != 0).select(
+            "comentario_id", F.when(F.pmod("comentario_id", F.lit(5)) == 0, 6 - F.col("avaliacao"))
+            .otherwise(F.col("avaliacao")).alias("avaliacao")),
+        ["comentario_id"], ["avaliacao"]))
+
+# ---------------------------------------------------------------- partitioned export (orders span 80 months)
+ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+def _export(m):
+    path = scratch_dir(m.spark, "export")
+    df = m.t("orders").select(*ORDER_COLS, F.date_format("o_orderdate", "yyyy-MM").alias("mes"))
+    export.export_partitioned(df, path)
+    return path
+
+
+query("export_partition_counts", """
+SELECT strftime(o_orderdate, '%Y-%m') AS mes, count(*) AS linhas, sum(o_orderkey) AS soma_ids FROM orders GROUP BY 1""")(
+    lambda m: m.spark.read.parquet(_export(m)).groupBy(F.col("mes").cast("string").alias("mes")).agg(
+        F.count(F.lit(1)).alias("linhas"), F.sum("o_orderkey").alias("soma_ids")))
+
+query("export_manifest", f"""
+SELECT count(*) AS particoes, CAST(sum(n) AS BIGINT) AS linhas, string_agg(mes, ',' ORDER BY mes) AS lista,
+       {len(ORDER_COLS)} AS colunas
+  FROM (SELECT strftime(o_orderdate, '%Y-%m') AS mes, count(*) AS n FROM orders GROUP BY 1) s""")(
+    lambda m: export.manifest(m.spark, _export(m)))
+
+
+def _selective(m):
+    df = m.spark.read.parquet(_export(m))
+    return df.where(F.col("mes") == "1996-08").select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+query("selective_scan", """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE strftime(o_orderdate, '%Y-%m') = '1996-08'""")(_selective)
+
+ORDER_SCHEMA = T.StructType([
+    T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+    T.StructField("o_orderstatus", T.StringType()), T.StructField("o_totalprice", T.DoubleType()),
+    T.StructField("o_orderdate", T.TimestampNTZType()), T.StructField("o_orderpriority", T.StringType()),
+])
+
+
+def _formats(m):
+    base = scratch_dir(m.spark, "formats")
+    paths = export.write_formats(m.t("orders").select(*ORDER_COLS), base)
+    return export.reconcile_formats(m.spark, paths, ORDER_SCHEMA, "o_orderkey")
+
+
+query("format_reconcile", "\nUNION ALL\n".join(
+    f"SELECT '{f}' AS formato, count(*) AS linhas, sum(o_orderkey) AS soma_ids FROM orders"
+    for f in ("parquet", "csv", "json")))(_formats)
+
+
+# ---------------------------------------------------------------- distributed monthly engagement
+def engagement_distributed(m):
+    """The keyed combine of the distributed job: lookups (content →
+    category, account → person) joined under the size check, a missing
+    person falls back to the account id, then one group-by with partial
+    aggregation per (month, category)."""
+    i = m.interacao.select("usuario_id", "conteudo_id", "tipo_interacao", "data_hora", "tempo_consumido")
+    c = m.conteudo.select("conteudo_id", "categoria")
+    p = m.correspondencia.select("usuario_id", "usuario_mestre_id")
+    j = join_dim(join_dim(i, c, "conteudo_id"), p, "usuario_id", "left")
+    j = j.withColumn("pessoa", F.coalesce("usuario_mestre_id", "usuario_id"))
+    return j.groupBy(F.date_format("data_hora", "yyyy-MM").alias("mes"), "categoria").agg(
+        F.count(F.lit(1)).alias("interacoes"), F.count_distinct("pessoa").alias("pessoas_ativas"),
+        F.count_if(F.col("tipo_interacao") == "conclusão").alias("conclusoes"),
+        F.coalesce(F.sum("tempo_consumido"), F.lit(0)).cast("bigint").alias("minutos_consumidos"))
+
+
+query("engagement_distributed", with_("interacao", "conteudo", "correspondencia") + """
+SELECT strftime(i.data_hora, '%Y-%m') AS mes, c.categoria, count(*) AS interacoes,
+       count(DISTINCT coalesce(p.usuario_mestre_id, i.usuario_id)) AS pessoas_ativas,
+       count(*) FILTER (WHERE i.tipo_interacao = 'conclusão') AS conclusoes,
+       CAST(coalesce(sum(i.tempo_consumido), 0) AS BIGINT) AS minutos_consumidos
+  FROM interacao i JOIN conteudo c USING (conteudo_id) LEFT JOIN correspondencia p USING (usuario_id)
+ GROUP BY 1, 2""")(engagement_distributed)
+
+
+def _engagement_reconcile(m):
+    a = engagement_distributed(m)
+    g = gold.kpi_engagement(m.fato_interacao, m.dim_conteudo).select(
+        "mes", "categoria", "interacoes", "pessoas_ativas", "conclusoes", "minutos_consumidos")
+    total = m.interacao.agg(F.count(F.lit(1)).alias("lidos"))
+    agg_total = a.agg(F.sum("interacoes").alias("agregados"))
+    return total.crossJoin(agg_total).crossJoin(
+        a.exceptAll(g).agg(F.count(F.lit(1)).alias("so_no_distribuido"))).crossJoin(
+        g.exceptAll(a).agg(F.count(F.lit(1)).alias("so_na_gold")))
+
+
+query("engagement_reconcile", with_("interacao", "conteudo", "correspondencia", "fato_interacao") + """
+, a AS (SELECT strftime(i.data_hora, '%Y-%m') AS mes, c.categoria, count(*) AS interacoes,
+               count(DISTINCT coalesce(p.usuario_mestre_id, i.usuario_id)) AS pessoas_ativas,
+               count(*) FILTER (WHERE i.tipo_interacao = 'conclusão') AS conclusoes,
+               CAST(coalesce(sum(i.tempo_consumido), 0) AS BIGINT) AS minutos_consumidos
+          FROM interacao i JOIN conteudo c USING (conteudo_id) LEFT JOIN correspondencia p USING (usuario_id)
+         GROUP BY 1, 2),
+g AS (SELECT strftime(f.mes, '%Y-%m') AS mes, d.categoria, count(*) AS interacoes,
+             count(DISTINCT f.usuario_pseudo) AS pessoas_ativas,
+             count(*) FILTER (WHERE f.tipo_interacao = 'conclusão') AS conclusoes,
+             CAST(coalesce(sum(f.tempo_consumido), 0) AS BIGINT) AS minutos_consumidos
+        FROM fato_interacao f JOIN conteudo d USING (conteudo_id) GROUP BY f.mes, d.categoria)
+SELECT (SELECT count(*) FROM interacao) AS lidos, (SELECT CAST(sum(interacoes) AS BIGINT) FROM a) AS agregados,
+       (SELECT count(*) FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM g)) AS so_no_distribuido,
+       (SELECT count(*) FROM (SELECT * FROM g EXCEPT ALL SELECT * FROM a)) AS so_na_gold""")(_engagement_reconcile)
+
+query("consumption_events", with_("interacao") + f"""
+SELECT tipo_interacao, count(*) AS n FROM interacao WHERE tipo_interacao IN {CONSUMPTION} GROUP BY 1""")(
+    lambda m: m.interacao.where(F.col("tipo_interacao").isin("visualização", "início", "conclusão"))
+    .groupBy("tipo_interacao").agg(F.count(F.lit(1)).alias("n")))
