@@ -1,0 +1,94 @@
+"""Reject store with a correction and reprocessing lifecycle.
+
+* Every rejected record enters the store as ``pendente`` with its raw
+  record (JSON text), rule and severity, keyed by (fonte, origem, linha).
+* Triage edits are a table of (identity, campo, valor) corrections and a
+  table of discarded identities; corrections are applied by turning the raw
+  record into a ``map<string,string>`` and ``map_concat``-ing the edits.
+* On the next run the Bronze rows are overlaid: a corrected record replaces
+  the raw one, a discarded one leaves the flow. Re-classification then
+  decides the transition: accepted → ``reprocessado``; still failing →
+  ``pendente`` (with the new rule); discarded stays ``descartado``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+ID = ["fonte", "_origem", "_linha"]
+
+
+def reject_store(classified: DataFrame, run_id: str) -> DataFrame:
+    return classified.where(F.col("regra").isNotNull()).select(
+        *ID, "chave_registro", "regra", "severidade", "registro",
+        F.lit(run_id).alias("execucao_id"), F.lit(run_id).alias("ultima_execucao_id"),
+        F.lit("pendente").alias("status"))
+
+
+def corrections_per_record(corrections: DataFrame) -> DataFrame:
+    """(identity, correcoes map<string,string>) — one row per edited record;
+    the map is bounded by the record's field count."""
+    return corrections.groupBy(*ID).agg(
+        F.map_from_entries(F.collect_list(F.struct("campo", "valor"))).alias("correcoes"))
+
+
+def apply_corrections(store: DataFrame, corrections: DataFrame, discards: DataFrame) -> DataFrame:
+    """Store rows with the edited record and the triage status."""
+    c = corrections_per_record(corrections)
+    d = discards.select(*ID).withColumn("_descartado", F.lit(True))
+    j = store.join(c, ID, "left").join(d, ID, "left")
+    original = F.from_json("registro", "map<string,string>")
+    corr = F.coalesce("correcoes", F.create_map().cast("map<string,string>"))
+    # an edit replaces the field's value; an edit of a field the record lacks adds it
+    replaced = F.transform_values(original, lambda k, v: F.coalesce(F.try_element_at(corr, k), v))
+    added = F.map_filter(corr, lambda k, v: ~F.map_contains_key(original, k))
+    edited = F.to_json(F.map_concat(replaced, added))
+    return j.select(
+        *[c_ for c_ in store.columns if c_ not in ("registro", "status")],
+        F.col("registro").alias("registro_original"),
+        F.when(F.col("correcoes").isNotNull(), edited).otherwise(F.col("registro")).alias("registro"),
+        F.when(F.col("_descartado"), "descartado").when(F.col("correcoes").isNotNull(), "corrigido")
+        .otherwise(F.col("status")).alias("status"))
+
+
+def diff(store: DataFrame) -> DataFrame:
+    """(identity, campo, antes, depois) for every key whose value changed."""
+    a = store.select(*ID, F.explode_outer(F.from_json("registro_original", "map<string,string>"))
+                     .alias("campo", "antes"))
+    b = store.select(*ID, F.explode_outer(F.from_json("registro", "map<string,string>")).alias("campo", "depois"))
+    j = a.join(b, ID + ["campo"], "full")
+    return j.where(~F.col("antes").eqNullSafe(F.col("depois")))
+
+
+def overlay(bronze: DataFrame, state: DataFrame, fonte: str, columns: list[str]) -> DataFrame:
+    """Bronze rows of ``fonte`` with corrected records replacing raw ones;
+    discarded records removed."""
+    s = state.where(F.col("fonte") == fonte)
+    gone = s.where(F.col("status") == "descartado").select("_origem", "_linha")
+    fixed = s.where(F.col("status").isin("corrigido", "reprocessado")).select(
+        "_origem", "_linha", F.from_json("registro", "map<string,string>").alias("_m"))
+    b = bronze.join(gone, ["_origem", "_linha"], "left_anti").join(fixed, ["_origem", "_linha"], "left")
+    return b.select("_origem", "_linha", *[
+        F.when(F.col("_m").isNotNull(), F.col("_m")[c]).otherwise(F.col(c)).alias(c) for c in columns])
+
+
+def lifecycle(state: DataFrame, reclassified: DataFrame, run_id: str) -> DataFrame:
+    """New store state after reprocessing: transitions for known records and
+    new ``pendente`` entries for records rejected for the first time."""
+    now = reclassified.select(*ID, F.col("regra").alias("regra_atual"),
+                              F.col("registro").alias("registro_atual"), F.lit(True).alias("_visto"))
+    j = state.join(now, ID, "full")
+    status = (
+        F.when(F.col("status") == "descartado", "descartado")
+        .when(F.col("_visto") & F.col("regra_atual").isNull(), "reprocessado")
+        .when(F.col("_visto") & F.col("regra_atual").isNotNull(), "pendente")
+        .otherwise(F.col("status"))
+    )
+    known = j.where(F.col("status").isNotNull()).select(
+        *ID, F.coalesce("regra_atual", "regra").alias("regra"), status.alias("status"),
+        F.when(F.col("_visto"), F.lit(run_id)).otherwise(F.col("ultima_execucao_id")).alias("ultima_execucao_id"))
+    new = j.where(F.col("status").isNull() & F.col("regra_atual").isNotNull()).select(
+        *ID, F.col("regra_atual").alias("regra"), F.lit("pendente").alias("status"),
+        F.lit(run_id).alias("ultima_execucao_id"))
+    return known.unionByName(new)
