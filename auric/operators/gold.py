@@ -153,3 +153,20 @@ def row_counts(named: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def engagement_by_month(interacao: DataFrame, conteudo: DataFrame, correspondencia: DataFrame) -> DataFrame:
+    """The distributed monthly engagement job: lookups (content → category,
+    account → person) joined under the size check, a missing person falls
+    back to the account id, then one group-by with partial aggregation per
+    (month, category); the per-key sums are associative, so Spark combines
+    them map-side."""
+    i = interacao.select("usuario_id", "conteudo_id", "tipo_interacao", "data_hora", "tempo_consumido")
+    c = conteudo.select("conteudo_id", "categoria")
+    p = correspondencia.select("usuario_id", "usuario_mestre_id")
+    j = join_dim(join_dim(i, c, "conteudo_id"), p, "usuario_id", "left")
+    j = j.withColumn("pessoa", F.coalesce("usuario_mestre_id", "usuario_id"))
+    return j.groupBy(F.date_format("data_hora", "yyyy-MM").alias("mes"), "categoria").agg(
+        F.count(F.lit(1)).alias("interacoes"), F.count_distinct("pessoa").alias("pessoas_ativas"),
+        F.count_if(F.col("tipo_interacao") == "conclusão").alias("conclusoes"),
+        F.coalesce(F.sum("tempo_consumido"), F.lit(0)).cast("bigint").alias("minutos_consumidos"))

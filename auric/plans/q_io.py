@@ -173,19 +173,7 @@ query("format_reconcile", "\nUNION ALL\n".join(
 
 # ---------------------------------------------------------------- distributed monthly engagement
 def engagement_distributed(m):
-    """The keyed combine of the distributed job: lookups (content →
-    category, account → person) joined under the size check, a missing
-    person falls back to the account id, then one group-by with partial
-    aggregation per (month, category)."""
-    i = m.interacao.select("usuario_id", "conteudo_id", "tipo_interacao", "data_hora", "tempo_consumido")
-    c = m.conteudo.select("conteudo_id", "categoria")
-    p = m.correspondencia.select("usuario_id", "usuario_mestre_id")
-    j = join_dim(join_dim(i, c, "conteudo_id"), p, "usuario_id", "left")
-    j = j.withColumn("pessoa", F.coalesce("usuario_mestre_id", "usuario_id"))
-    return j.groupBy(F.date_format("data_hora", "yyyy-MM").alias("mes"), "categoria").agg(
-        F.count(F.lit(1)).alias("interacoes"), F.count_distinct("pessoa").alias("pessoas_ativas"),
-        F.count_if(F.col("tipo_interacao") == "conclusão").alias("conclusoes"),
-        F.coalesce(F.sum("tempo_consumido"), F.lit(0)).cast("bigint").alias("minutos_consumidos"))
+    return gold.engagement_by_month(m.interacao, m.conteudo, m.correspondencia)
 
 
 query("engagement_distributed", with_("interacao", "conteudo", "correspondencia") + """
