@@ -25,6 +25,7 @@ from auric.functions import domain, privacy
 from auric.functions.text import clean_text
 from auric.operators import identity
 from auric.operators.joins import bounded, join_dim
+from auric.session import stage
 from auric.sources.tables import table
 
 # Fixed run parameters (determinism: no current_date() inside query keys).
@@ -224,37 +225,37 @@ class Model:
     def cls_catalogo(self) -> DataFrame:
         from auric.operators import classify
 
-        return classify.catalog(self.bronze("catalogo"))
+        return stage(classify.catalog(self.bronze("catalogo")))
 
     @cached_property
     def cls_usuarios(self) -> DataFrame:
         from auric.operators import classify
 
-        return classify.users(self.bronze("usuarios"), RUN_DATE, self.key, self.salt)
+        return stage(classify.users(self.bronze("usuarios"), RUN_DATE, self.key, self.salt))
 
     @cached_property
     def cls_interacoes(self) -> DataFrame:
         from auric.operators import classify
 
-        return classify.events(self.bronze("interacoes"), RUN_TS,
+        return stage(classify.events(self.bronze("interacoes"), RUN_TS,
                                classify.accepted_keys(self.cls_usuarios, "usuario_id"),
-                               classify.accepted_keys(self.cls_catalogo, "conteudo_id", ["data_publicacao"]))
+                               classify.accepted_keys(self.cls_catalogo, "conteudo_id", ["data_publicacao"])))
 
     @cached_property
     def cls_comentarios(self) -> DataFrame:
         from auric.operators import classify
 
-        return classify.comments(self.bronze("comentarios"), RUN_DATE,
+        return stage(classify.comments(self.bronze("comentarios"), RUN_DATE,
                                  classify.accepted_keys(self.cls_usuarios, "usuario_id"),
-                                 classify.accepted_keys(self.cls_catalogo, "conteudo_id", ["data_publicacao"]))
+                                 classify.accepted_keys(self.cls_catalogo, "conteudo_id", ["data_publicacao"])))
 
     @cached_property
     def cls_recomendacoes(self) -> DataFrame:
         from auric.operators import classify
 
-        return classify.recommendations(self.bronze("recomendacoes"),
-                                        classify.accepted_keys(self.cls_usuarios, "usuario_id"),
-                                        classify.accepted_keys(self.cls_catalogo, "conteudo_id"))
+        return stage(classify.recommendations(self.bronze("recomendacoes"),
+                                              classify.accepted_keys(self.cls_usuarios, "usuario_id"),
+                                              classify.accepted_keys(self.cls_catalogo, "conteudo_id")))
 
     def classified(self) -> dict[str, DataFrame]:
         return {"catalogo": self.cls_catalogo, "usuarios": self.cls_usuarios, "interacoes": self.cls_interacoes,
