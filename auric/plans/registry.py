@@ -54,5 +54,5 @@ def load_all() -> None:
     # importing the modules registers their queries
     from auric.plans import (  # noqa: F401
         q_analytics, q_functions, q_gold, q_identity, q_io, q_quality, q_quarantine, q_recommend, q_rules,
-        q_rules_v1,
+        q_rules_v1, q_publish,
     )
