@@ -1,0 +1 @@
+"""Structured Streaming entry points (file pickup into Bronze)."""
