@@ -78,16 +78,16 @@ def quality(vi: DataFrame) -> DataFrame:
 
 def retention_v1(vi: DataFrame) -> DataFrame:
     """Monthly active accounts, interactions per account and retention into
-    the next month; the latest month (one-row max, broadcast) has none."""
+    the next month; the latest month (a scalar subquery) has none."""
     ativos = vi.groupBy("mes", "usuario_id").agg(F.count(F.lit(1)).alias("interacoes"))
-    ultimo = ativos.agg(F.max("mes").alias("ultimo_mes"))
+    ultimo = ativos.agg(F.max("mes")).scalar()
     nxt = ativos.select(F.col("usuario_id").alias("_u"), F.col("mes").alias("_m"))
     j = ativos.join(nxt, (ativos["usuario_id"] == nxt["_u"]) & (nxt["_m"] == F.add_months(ativos["mes"], 1)), "left")
     g = j.groupBy("mes").agg(
         F.count(F.lit(1)).alias("usuarios_ativos"), F.sum("interacoes").alias("interacoes"),
         F.count("_u").alias("retidos"),
-    ).crossJoin(F.broadcast(ultimo))
-    last = F.col("mes") == F.col("ultimo_mes")
+    )
+    last = F.col("mes") == ultimo
     return g.select(
         "mes", "usuarios_ativos", "interacoes",
         F.round(F.col("interacoes") / F.col("usuarios_ativos"), 2).alias("interacoes_por_usuario"),
@@ -97,33 +97,32 @@ def retention_v1(vi: DataFrame) -> DataFrame:
 
 
 def recommendation_kpi(recs: DataFrame, conteudo: DataFrame, usuario: DataFrame) -> DataFrame:
-    total = usuario.agg(F.count(F.lit(1)).alias("total_usuarios"))
+    total = usuario.agg(F.count(F.lit(1))).scalar()
     r = join_dim(recs, conteudo.select("conteudo_id", "categoria", "tipo"), "conteudo_id")
     g = r.groupBy("classificacao", "categoria", "tipo").agg(
         F.count(F.lit(1)).alias("recomendacoes"),
         F.count_distinct("usuario_id").alias("usuarios"),
         F.round(F.avg("pontuacao"), 1).alias("pontuacao_media"),
-    ).crossJoin(F.broadcast(total))
+    )
     return g.select("classificacao", "categoria", "tipo", "recomendacoes", "usuarios", "pontuacao_media",
-                    pct(F.col("usuarios"), F.col("total_usuarios")).alias("cobertura_pct"))
+                    pct(F.col("usuarios"), total).alias("cobertura_pct"))
 
 
 def platform_totals(usuario, interacao, conteudo, recs, embedding) -> DataFrame:
-    """Eight platform scalars as one row: each is a global aggregate (one
-    row), combined by cross joins of one-row frames."""
-    u = usuario.agg(F.count(F.lit(1)).alias("usuarios"))
-    i = interacao.agg(
-        F.count_distinct("usuario_id").alias("usuarios_ativos"),
-        F.count(F.lit(1)).alias("interacoes"),
-        F.round(F.avg("tempo_consumido"), 1).alias("tempo_medio_min"),
-    )
-    c = conteudo.agg(F.count(F.lit(1)).alias("conteudos"))
-    r = recs.agg(F.count(F.lit(1)).alias("recomendacoes"), F.count_distinct("usuario_id").alias("_ru"))
-    e = embedding.agg(F.count(F.lit(1)).alias("embeddings"))
-    row = u.crossJoin(i).crossJoin(c).crossJoin(r).crossJoin(e)
-    return row.select(
-        "usuarios", "usuarios_ativos", "conteudos", "interacoes", "tempo_medio_min", "recomendacoes",
-        pct(F.col("_ru"), F.col("usuarios")).alias("cobertura_recomendacao_pct"), "embeddings",
+    """Eight platform scalars as one row: each is a global aggregate taken
+    as a scalar subquery (Catalyst merges subqueries over the same table)."""
+    one = lambda df, c: df.agg(c).scalar()
+    usuarios = one(usuario, F.count(F.lit(1)))
+    ru = one(recs, F.count_distinct("usuario_id"))
+    return usuario.sparkSession.range(1).select(
+        usuarios.alias("usuarios"),
+        one(interacao, F.count_distinct("usuario_id")).alias("usuarios_ativos"),
+        one(conteudo, F.count(F.lit(1))).alias("conteudos"),
+        one(interacao, F.count(F.lit(1))).alias("interacoes"),
+        one(interacao, F.round(F.avg("tempo_consumido"), 1)).alias("tempo_medio_min"),
+        one(recs, F.count(F.lit(1))).alias("recomendacoes"),
+        pct(ru, usuarios).alias("cobertura_recomendacao_pct"),
+        one(embedding, F.count(F.lit(1))).alias("embeddings"),
     )
 
 

@@ -90,15 +90,15 @@ def kpi_active_people(fato: DataFrame, person: str = "usuario_pseudo") -> DataFr
     """Active people per month, retention into the next month, and whether
     the month is complete. The last month has no retention (NULL)."""
     ativos = monthly_activity(fato, person)
-    limite = fato.agg(F.max("data_hora").alias("ultima"))  # one row
+    ultima = fato.agg(F.max("data_hora")).scalar()  # scalar subquery
     nxt = ativos.select(F.col(person).alias("_p"), F.col("mes").alias("_m"))
     j = ativos.join(nxt, (ativos[person] == nxt["_p"]) & (nxt["_m"] == F.add_months(ativos["mes"], 1)), "left")
     g = j.groupBy("mes").agg(
         F.count(F.lit(1)).alias("pessoas_ativas"),
         F.sum("interacoes").alias("interacoes"),
         F.count("_p").alias("retidas"),
-    ).crossJoin(F.broadcast(limite))
-    last = F.col("mes") == F.trunc(F.to_date("ultima"), "month")
+    )
+    last = F.col("mes") == F.trunc(F.to_date(ultima), "month")
     return g.select(
         F.col("mes").alias("mes_referencia"),
         "pessoas_ativas",
@@ -106,7 +106,7 @@ def kpi_active_people(fato: DataFrame, person: str = "usuario_pseudo") -> DataFr
         F.round(F.col("interacoes") / F.col("pessoas_ativas"), 2).alias("interacoes_por_pessoa"),
         F.when(~last, F.col("retidas")).alias("pessoas_retidas"),
         F.when(~last, pct(F.col("retidas"), F.col("pessoas_ativas"))).alias("retencao_pct"),
-        (F.add_months("mes", 1) <= F.date_add(F.to_date("ultima"), 1)).alias("mes_completo"),
+        (F.add_months("mes", 1) <= F.date_add(F.to_date(ultima), 1)).alias("mes_completo"),
     )
 
 

@@ -189,11 +189,13 @@ def _engagement_reconcile(m):
     a = engagement_distributed(m)
     g = gold.kpi_engagement(m.fato_interacao, m.dim_conteudo).select(
         "mes", "categoria", "interacoes", "pessoas_ativas", "conclusoes", "minutos_consumidos")
-    total = m.interacao.agg(F.count(F.lit(1)).alias("lidos"))
-    agg_total = a.agg(F.sum("interacoes").alias("agregados"))
-    return total.crossJoin(agg_total).crossJoin(
-        a.exceptAll(g).agg(F.count(F.lit(1)).alias("so_no_distribuido"))).crossJoin(
-        g.exceptAll(a).agg(F.count(F.lit(1)).alias("so_na_gold")))
+    n = lambda df, c: df.agg(c).scalar()
+    return m.spark.range(1).select(
+        n(m.interacao, F.count(F.lit(1))).alias("lidos"),
+        n(a, F.sum("interacoes")).alias("agregados"),
+        n(a.exceptAll(g), F.count(F.lit(1))).alias("so_no_distribuido"),
+        n(g.exceptAll(a), F.count(F.lit(1))).alias("so_na_gold"),
+    )
 
 
 query("engagement_reconcile", with_("interacao", "conteudo", "correspondencia", "fato_interacao") + """

@@ -42,8 +42,8 @@ SELECT classificacao, count(*) AS recomendacoes, count(DISTINCT usuario_id) AS u
   FROM recomendacao GROUP BY classificacao""")(
     lambda m: m.recomendacao.groupBy("classificacao").agg(
         F.count(F.lit(1)).alias("recomendacoes"),
-        F.count_distinct("usuario_id").alias("usuarios_com_recomendacao")).crossJoin(
-        F.broadcast(m.usuario_raw.agg(F.count(F.lit(1)).alias("usuarios")))))
+        F.count_distinct("usuario_id").alias("usuarios_com_recomendacao")).select(
+        "*", m.usuario_raw.agg(F.count(F.lit(1))).scalar().alias("usuarios")))
 
 query("embedding_pending", with_("conteudo", "embedding") + """
 SELECT c.conteudo_id, c.titulo FROM conteudo c
@@ -86,11 +86,13 @@ SELECT usuario_id, len(perfil) AS dimensao, round(list_sum(perfil), 6) AS soma,
 
 
 def _semantic_topk(m, k: int = 5):
-    """Nearest neighbours of one query vector (the first embedding):
-    the one-row query side is broadcast, the corpus scanned once."""
+    """Nearest neighbours of one query vector (the first embedding): the
+    query is a scalar subquery, the corpus is scanned once and each task
+    keeps its own top k before the final merge."""
     e = m.t("embeddings").select("vec_id", "embedding")
-    q = e.agg(F.min_by("embedding", "vec_id").alias("consulta"))  # one row
-    s = e.crossJoin(F.broadcast(q)).select("vec_id", V.cosine("embedding", "consulta").alias("sim"))
+    q = e.agg(F.min_by("embedding", "vec_id")).scalar()
+    s = e.select("vec_id", "embedding", q.alias("consulta")) \
+        .select("vec_id", V.cosine("embedding", "consulta").alias("sim"))
     return s.orderBy(F.col("sim").desc(), "vec_id").limit(k).select(
         F.row_number().over(Window.orderBy(F.col("sim").desc(), "vec_id")).alias("posicao"),
         F.col("vec_id").alias("conteudo_id"), F.round("sim", 4).alias("similaridade"))
