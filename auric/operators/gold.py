@@ -2,8 +2,8 @@
 
 Aggregations are written so Spark can combine map-side: distinct counts over
 (month, person) pairs become plain counts after one pair-level group-by, and
-the one-row "latest timestamp" is a broadcast cross join of a global
-aggregate (never a single-partition window).
+the "latest timestamp" is a scalar subquery over a global aggregate (never a
+single-partition window, never a join).
 """
 
 from __future__ import annotations

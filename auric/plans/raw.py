@@ -183,7 +183,8 @@ def bronze(spark, sf_dir: str, fonte: str):
     from auric.sources.tables import table as load
 
     table, cols, _, parts = SOURCES[fonte]
-    base = load(spark, sf_dir, table)
+    # parsing and rules run per row on every delivery: use all cores
+    base = load(spark, sf_dir, table, spread_rows=True)
     out = None
     for origem, linha, where, over in parts:
         exprs = part_exprs(cols, over)

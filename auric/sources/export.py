@@ -21,8 +21,13 @@ TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 def export_partitioned(df: DataFrame, path: str, partition_col: str = "mes") -> None:
     """Hive-layout Parquet by month; with dynamic partition overwrite only
-    the months present in ``df`` are replaced."""
-    df.write.mode("overwrite").partitionBy(partition_col).parquet(path)
+    the months present in ``df`` are replaced.
+
+    Rows are rebalanced by the partition column first, so each month is
+    written by few tasks (not every task writing a small file per month);
+    AQE splits a month that holds a large share of the rows over several
+    tasks and coalesces small months."""
+    df.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(path)
 
 
 def manifest(spark: SparkSession, path: str, partition_col: str = "mes") -> DataFrame:
