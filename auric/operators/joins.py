@@ -19,9 +19,11 @@ def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate for ``df`` (file sizes for scans, propagated
     through projections and filters). No job is run."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     except Exception:  # estimate unavailable: treat as large
         return 1 << 62
+    # py4j hands a BigInt over as a Python int; older bridges as a JVM object
+    return size if isinstance(size, int) else int(size.toString())
 
 
 def bounded(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:

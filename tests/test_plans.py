@@ -38,3 +38,58 @@ def test_identity_links_no_pairs_join(spark, qs):
 def test_filter_pushdown(spark, qs):
     p = plan(qs["filter_event"](spark, SF))
     assert "PushedFilters: [In(event_type" in p
+
+
+@pytest.mark.parametrize("name", ["gold_active_people", "platform_totals", "avg_quadrant", "narrative_facts",
+                                  "kpi_retention_v1", "engagement_reconcile", "semantic_topk"])
+def test_scalars_are_subqueries_not_joins(spark, qs, name):
+    p = plan(qs[name](spark, SF))
+    assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
+    assert "Subquery" in p
+
+
+def test_spread_single_split_scan(spark):
+    from pyspark.sql import functions as F
+
+    from auric.sources.tables import spread, table
+
+    raw = spark.read.parquet(f"{SF}/lineitem.parquet")
+    assert raw.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
+    s = spread(raw)
+    assert s.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    # filters and pruning still reach the scan below the repartition
+    p = plan(s.where(F.col("l_quantity") > 10).select("l_orderkey"))
+    assert "RoundRobinPartitioning" in p
+    assert "PushedFilters: [GreaterThan(l_quantity,10.0)]" in p
+    assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in p
+    # tiny tables are left alone; text tables are spread by default
+    assert spread(spark.read.parquet(f"{SF}/region.parquet")).rdd.getNumPartitions() == 1
+    assert table(spark, SF, "documents").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    # the same rows come out
+    assert s.count() == raw.count()
+
+
+def test_partitioned_export_rebalances_by_month(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from auric.sources import export
+
+    df = spark.read.parquet(f"{SF}/orders.parquet").select(
+        "o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("mes"))
+    path = f"{tmp_dir}/export"
+    export.export_partitioned(df, path)
+    back = spark.read.parquet(path)
+    assert back.count() == df.count()
+    assert back.select("mes").distinct().count() == df.select("mes").distinct().count()
+
+
+def test_size_estimate_and_bounded_broadcast(spark):
+    from auric.operators.joins import bounded, estimated_bytes
+
+    small = spark.read.parquet(f"{SF}/nation.parquet")
+    est = estimated_bytes(small)
+    assert 0 < est < 1 << 20
+    assert "ResolvedHint" in small.transform(bounded)._jdf.queryExecution().analyzed().toString() or \
+        "broadcast" in small.transform(bounded)._jdf.queryExecution().analyzed().toString().lower()
+    # above the limit the side is returned unchanged (the join may shuffle)
+    assert bounded(small, limit=1) is small
