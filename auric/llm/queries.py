@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from auric.llm import decontaminate
+from auric.llm import decontaminate, token_count
+
+
+def tokenizer(name: str) -> str:
+    """The place of a public tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,8 +23,13 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op3_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
+    "op3_token_count": op3_token_count,
 }
 
 ORACLE_SQL = {
