@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from auric.llm import bpe, decontaminate, token_count
+from auric.llm import bpe, decontaminate, sharding, token_count
 
 
 def tokenizer(name: str) -> str:
@@ -27,6 +27,10 @@ def op3_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_rows(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.encode(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json")))
 
@@ -34,6 +38,7 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_token_count": op3_token_count,
+    "op4_shards": op4_shards,
     "op5_bpe": op5_bpe,
 }
 
