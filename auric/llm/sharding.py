@@ -101,7 +101,7 @@ class Splitter:
         unit = next((u for u in (1 << 128, 1 << 64, 1) if high // u - low // u > 1), 1)  # between texts, ids, rows
         steps = min(PROBES, high // unit - low // unit - (0 if high % unit else 1))
         width = high // unit - low // unit
-        return sorted({(low // unit + max(1, width * k // (steps + 1))) * unit for k in range(1, steps + 1)} - {low, high})
+        return [low, high, *[(low // unit + max(1, width * k // (steps + 1))) * unit for k in range(1, steps + 1)]]
 
 
 def find_splitters(keyed: DataFrame, shards: int, ranges: int, total: int, rows: int, tolerance: float) -> list[tuple]:
@@ -111,7 +111,7 @@ def find_splitters(keyed: DataFrame, shards: int, ranges: int, total: int, rows:
     todo = [Splitter(round(share * k / ranges), share * tolerance if k % ranges == 0 else share / ranges * RANGE_TOLERANCE, high=top)
             for k in range(1, shards * ranges)]
     while True:
-        probes = sorted({p for s in todo if not s.settled() for p in s.probes()})
+        probes = sorted({p for s in todo if not s.settled() for p in s.probes()} - {0, 1 << KEY_BITS})
         if not probes:
             return [s.best() for s in todo]
         known = count_below(keyed, probes)
