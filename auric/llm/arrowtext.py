@@ -7,14 +7,23 @@ done on slices of bounded size; only a single longer text exceeds the bound.
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 
 SLICE_BYTES = 1 << 20
 MULT = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
+def shared(spark, value):
+    """Broadcast ``value``, classes of this package included by value; the returned function gives it inside a task."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(sent.value)
+
+
 def slices(batch, text_col: str, max_bytes: int = SLICE_BYTES):
     """Yield zero-copy slices of ``batch`` with about ``max_bytes`` of text each (a longer text stands alone)."""
     size = np.asarray(pc.fill_null(pc.binary_length(batch.column(text_col)), 0))

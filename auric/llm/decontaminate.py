@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auric.llm.arrowtext import SpanHasher, flat, lower_az, mix, slices, word_spans
+from auric.llm.arrowtext import SpanHasher, flat, lower_az, mix, shared, slices, word_spans
 
 WINDOW = 10
 #: Bytes of benchmark text compiled (and broadcast) at a time; a larger benchmark is searched block after block.
@@ -177,10 +177,10 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cur.schema.fields[: len(names) + 1])
     for k in range(blocks):
         part = bench if blocks == 1 else bench.where(F.pmod(F.xxhash64("item", "txt"), F.lit(blocks)) == k)
-        tables = spark.sparkContext.broadcast(compile_strings([(r.item, r.txt) for r in part.collect()], window))
+        tables = shared(spark, compile_strings([(r.item, r.txt) for r in part.collect()], window))
 
         def scan(batches, tables=tables):
-            hasher, known = SpanHasher(), tables.value
+            hasher, known = SpanHasher(), tables()
             for whole in batches:
                 for batch in slices(whole, "txt"):
                     data, offsets = flat(batch.column("txt"))

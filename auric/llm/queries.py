@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from auric.llm import bpe, decontaminate, sharding, token_count
+from auric.llm import bpe, decontaminate, language, sharding, token_count, toxicity
 
 
 def tokenizer(name: str) -> str:
@@ -35,11 +36,25 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.encode(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json")))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    machine = toxicity.fit(docs, labels.where(~toxicity.held_out()))
+    return toxicity.score(docs, machine).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.where(~language.held_out()))
+    return language.identify(docs, model).select("doc_id", language.held_out().alias("held_out"), "lang_pred", F.col("score"))
+
+
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_token_count": op3_token_count,
     "op4_shards": op4_shards,
     "op5_bpe": op5_bpe,
+    "op8_toxicity": op8_toxicity,
+    "op9_language": op9_language,
 }
 
 ORACLE_SQL = {
