@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auric.llm import bpe, decontaminate, language, sharding, token_count, toxicity
+from auric.llm import bpe, decontaminate, language, near_dup, sharding, token_count, toxicity
 
 
 def tokenizer(name: str) -> str:
@@ -19,6 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.digest(found)
@@ -49,6 +53,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_dups": op1_near_dups,
     "op2_decontaminate": op2_decontaminate,
     "op3_token_count": op3_token_count,
     "op4_shards": op4_shards,
@@ -58,5 +63,6 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_near_dups": near_dup.SQL,
     "op2_decontaminate": decontaminate.SQL,
 }
