@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auric.llm import bpe, decontaminate, language, near_dup, sharding, token_count, toxicity
+from auric.llm import bpe, decontaminate, language, near_dup, pii, sharding, token_count, toxicity
 
 
 def tokenizer(name: str) -> str:
@@ -52,6 +52,15 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, model).select("doc_id", language.held_out().alias("held_out"), "lang_pred", F.col("score"))
 
 
+#: The key of the registered query; a real run passes its own.
+QUERY_KEY = "surrogates of the registered query"
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace_pii(docs, QUERY_KEY).withColumn("n_entities", F.size("pii_kinds"))
+
+
 QUERIES = {
     "op1_near_dups": op1_near_dups,
     "op2_decontaminate": op2_decontaminate,
@@ -60,6 +69,7 @@ QUERIES = {
     "op5_bpe": op5_bpe,
     "op8_toxicity": op8_toxicity,
     "op9_language": op9_language,
+    "op10_pii": op10_pii,
 }
 
 ORACLE_SQL = {
