@@ -21,6 +21,8 @@ from auric.llm.arrowtext import flat, shared, slices
 #: Documents that the machines are fitted on, over all languages, and the longest text among them in bytes.
 MAX_DOCS, MAX_DOC_BYTES = 4000, 1 << 20
 BUCKETS, ORDERS, ROWS = 4096, 3, 512
+#: Parts that a language's documents are ranked in first.
+PARTS = 64
 STEPS, PENALTY = 200, 1e-3
 
 # fixed values: language codes by family
@@ -149,8 +151,12 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     langs = rows.select("lang").distinct().count()
     if not langs:
         return None
-    w = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    ids = rows.select("id", "lang").withColumn("k", F.row_number().over(w)).where(F.col("k") <= max(1, max_docs // langs)).select("id", "lang").distinct()
+    # the first of each part of a language, then of the parts together, so that no task gets all of one language
+    ids = rows.select("id", "lang", F.xxhash64("id").alias("h")).withColumn("part", F.pmod("h", F.lit(PARTS)))
+    for by in (("lang", "part"), ("lang",)):
+        w = Window.partitionBy(*by).orderBy("h", "id")
+        ids = ids.withColumn("k", F.row_number().over(w)).where(F.col("k") <= max(1, max_docs // langs)).drop("k")
+    ids = ids.select("id", "lang").distinct()
 
     def scan(batches):
         for whole in batches:
