@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auric.llm import bpe, decontaminate, language, near_dup, pii, sharding, token_count, toxicity
+from auric.llm import bpe, decontaminate, language, near_dup, pii, sharding, token_count, topk, toxicity
 
 
 def tokenizer(name: str) -> str:
@@ -40,6 +40,11 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.encode(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json")))
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     machine = toxicity.fit(docs, labels.where(~toxicity.held_out()))
@@ -67,6 +72,7 @@ QUERIES = {
     "op3_token_count": op3_token_count,
     "op4_shards": op4_shards,
     "op5_bpe": op5_bpe,
+    "op6_topk": op6_topk,
     "op8_toxicity": op8_toxicity,
     "op9_language": op9_language,
     "op10_pii": op10_pii,
@@ -75,4 +81,5 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_near_dups": near_dup.SQL,
     "op2_decontaminate": decontaminate.SQL,
+    "op6_topk": topk.SQL,
 }
