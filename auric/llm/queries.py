@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auric.llm import bpe, decontaminate, language, near_dup, pii, sharding, token_count, topk, toxicity
+from auric.llm import bpe, decontaminate, language, lm_score, near_dup, pii, sharding, token_count, topk, toxicity
 
 
 def tokenizer(name: str) -> str:
@@ -45,6 +45,11 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"))
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm_score.score(docs, lm_score.fit(docs))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     machine = toxicity.fit(docs, labels.where(~toxicity.held_out()))
@@ -73,6 +78,7 @@ QUERIES = {
     "op4_shards": op4_shards,
     "op5_bpe": op5_bpe,
     "op6_topk": op6_topk,
+    "op7_lm_score": op7_lm_score,
     "op8_toxicity": op8_toxicity,
     "op9_language": op9_language,
     "op10_pii": op10_pii,
