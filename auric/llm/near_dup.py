@@ -94,7 +94,7 @@ def table_keys(least: np.ndarray) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """(id, size, f0, f1, least) for each row."""
+    """(id, text_hash, size, f0, f1, least) for each row."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def scan(batches):
@@ -103,10 +103,11 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame
             for batch in slices(whole, "txt"):
                 size, prints, least = sketches(*shingles(*flat(batch.column("txt")), words, hasher), batch.num_rows)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id"), pa.array(size, pa.int64()), *[pa.array(prints[:, k].view(np.int64)) for k in range(2)],
-                     pa.array([r.tobytes() for r in least], pa.binary())], names=["id", "size", "f0", "f1", "least"])
+                    [batch.column("id"), batch.column("text_hash"), pa.array(size, pa.int64()), *[pa.array(prints[:, k].view(np.int64)) for k in range(2)],
+                     pa.array([r.tobytes() for r in least], pa.binary())], names=["id", "text_hash", "size", "f0", "f1", "least"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("txt")).mapInArrow(scan, f"id {kind}, size long, f0 long, f1 long, least binary")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("txt"), F.xxhash64(text_col).alias("text_hash")).mapInArrow(
+        scan, f"id {kind}, text_hash long, size long, f0 long, f1 long, least binary")
 
 
 def with_keys(classes: DataFrame) -> DataFrame:
@@ -179,7 +180,8 @@ def components(spark, links: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(id_col, n_shingles, component_id, kept) for each row of ``docs``.
+    """(id_col, n_shingles, component_id, kept, text_hash) for each row of ``docs``; ``text_hash`` is xxhash64 of the
+    text, which tells rows of one id apart.
 
     Documents are linked if their sets of distinct ``words``-word shingles (words between ASCII white space, A-Z in
     lower case; the whole sequence if a text has fewer words) have a Jaccard similarity of ``percent`` / 100 or more.
@@ -243,11 +245,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         good = good.unionByName(stage(held(last), "links"))
         comp = stage(components(spark, good, nodes), "components")
     ids = classes.drop("least").join(comp, "node").select("size", "f0", "f1", "comp")
-    found = rows.select("id", "size", "f0", "f1").join(ids, ["size", "f0", "f1"], "left")
+    found = rows.drop("least").join(ids, ["size", "f0", "f1"], "left")
     own = F.when(F.col("id").isNotNull(), F.coalesce("comp", "id"))
     kind = rows.schema["id"].dataType
     return found.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), own.cast(kind).alias("component_id"),
-                        F.coalesce(F.col("id") == own, F.lit(True)).alias("kept"))
+                        F.coalesce(F.col("id") == own, F.lit(True)).alias("kept"), "text_hash")
 
 
 SQL = r"""
