@@ -5,16 +5,16 @@ MinHash values on either side give HALVES * HALVES tables from 4 * HALVES
 values, where independent tables would need as many values as tables times
 their width. Pairs found in a table are confirmed on the full shingle sets.
 
-Every step works on links of classes of equal sets. A bucket gives a link from
-each member to two members drawn at random, not all pairs; what these links
-leave apart is compared in rounds until no bucket joins two components.
+Every step works on links of classes of equal sets. A bucket gives links from
+each member to two of its members, not all pairs; members of buckets that
+these links leave in several components are compared exactly by prefixes.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from auric.llm.arrowtext import SpanHasher, flat, lower_az, mix, slices, word_spans
@@ -27,9 +27,9 @@ HALVES = 9
 VALUES = 4 * HALVES
 #: A pair goes on to the full sets if so many of its MinHash values agree; at 0.8 fewer do with probability 1e-5.
 LEAST_AGREE = 17
-#: Best links of a document that are confirmed in the first round.
-FIRST_LINKS = 3
 SALT = np.uint64(0xA0761D6478BD642F)
+#: Rows (24 bytes each) of a table that may be broadcast.
+BROADCAST_ROWS = 400_000
 
 
 def word_bytes() -> np.ndarray:
@@ -143,10 +143,12 @@ def with_agreement(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFr
     return both.mapInArrow(scan, "a long, b long, agree long")
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that hold on the full shingle sets, made from the texts of the documents concerned only."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("txt")).join(ends, "id", "left_semi")
+def full_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """(node, set) of the classes in ``nodes``, from the text of the row that stands for each. The texts stay where they
+    are while the table of rows to find is of checked size; else both sides are shuffled."""
+    wanted = stage(classes.join(nodes, "node", "left_semi").select("node", "id", "text_hash"), "wanted")
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    texts = docs.select(F.col("__id").alias("id"), F.xxhash64("__txt").alias("text_hash"), F.col("__txt").alias("txt")).join(wanted, ["id", "text_hash"])
 
     def scan(batches):
         hasher = SpanHasher()
@@ -155,11 +157,15 @@ def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, words
                 text, value = shingles(*flat(batch.column("txt")), words, hasher)
                 cut = np.searchsorted(text, np.arange(batch.num_rows + 1))
                 sets = [value[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])]
-                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())], names=["id", "set"])
+                yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], names=["node", "set"])
 
-    sets = stage(texts.mapInArrow(scan, "id long, set binary").groupBy("id").agg(F.min("set").alias("set")), "sets")
-    both = pairs.select("a", "b").join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(
-        sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
+    return stage(texts.select("node", "txt").mapInArrow(scan, "node long, set binary").groupBy("node").agg(F.min("set").alias("set")), "sets")
+
+
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that hold on the full shingle sets."""
+    both = pairs.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(
+        sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
 
     def compare(batches):
         for batch in batches:
@@ -179,6 +185,36 @@ def components(spark, links: DataFrame, nodes: DataFrame) -> DataFrame:
     return nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("comp"))
 
 
+def across(pairs: DataFrame, comp: DataFrame, ends: bool = False) -> DataFrame:
+    """The pairs (a, b) whose ends lie in two components, with these (ca, cb) if ``ends``."""
+    one = comp.select(F.col("node").alias("a"), F.col("comp").alias("ca"))
+    two = comp.select(F.col("node").alias("b"), F.col("comp").alias("cb"))
+    out = pairs.join(one, "a").join(two, "b").where("ca != cb")
+    return out.select("ca", "cb") if ends else out.select("a", "b")
+
+
+def prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of ``nodes`` (node, comp) in two components that share one of their rarest shingles: of a pair at
+    the similarity, each set's size - ceil(percent / 100 * size) + 1 rarest must share one (shingles ordered alike for
+    all by their number of nodes). This misses no link, and what edits have made unique rules a document out."""
+
+    def scan(batches):
+        for batch in batches:
+            for node, one in zip(batch.column("node").to_pylist(), batch.column("set")):
+                value = np.frombuffer(one.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(value), node)), pa.array(value), pa.array(np.full(len(value), len(value)))], names=["node", "shingle", "size"])
+
+    sets = sets.join(nodes, "node", "left_semi").mapInArrow(scan, "node long, shingle long, size long")
+    count = sets.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("n", "shingle"))
+    # a shingle of one node cannot be shared, but takes its place among the rarest
+    ranked = sets.join(count, "shingle", "left").withColumn("n", F.coalesce("n", F.lit(1))).withColumn("k", rank)
+    prefix = ranked.where(F.expr(f"k <= size - ceil({percent} * size / 100) + 1 and n > 1")).select("node", "shingle", "size").join(nodes, "node")
+    p, q = prefix.alias("p"), prefix.alias("q")
+    return p.join(q, (F.col("p.shingle") == F.col("q.shingle")) & (F.col("p.node") < F.col("q.node")) & (F.col("p.comp") != F.col("q.comp"))
+                  & F.expr(f"100 * least(p.size, q.size) >= {percent} * greatest(p.size, q.size)")).select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(id_col, n_shingles, component_id, kept, text_hash) for each row of ``docs``; ``text_hash`` is xxhash64 of the
     text, which tells rows of one id apart.
@@ -187,65 +223,56 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lower case; the whole sequence if a text has fewer words) have a Jaccard similarity of ``percent`` / 100 or more.
     ``component_id`` is the smallest id reachable over links, the own one included; ``kept`` marks that document.
     A text that is null, empty or without words has an empty set and is linked with nothing. Rows with one id and
-    equal sets are one document; an id with several texts stands in the components of each of them by its own rows.
+    equal sets are one document; rows of one id with different texts are documents of their own, each in its own component.
     A row with a null id has no component (null) and is kept. Empty tables give no rows; other columns do not matter.
     Ids are integers.
 
-    The steps: (1) a sketch per row; (2) classes of rows with equal sets, named by their smallest id; (3) the table
-    keys of each class; (4) in each bucket links to two members drawn by hash; (5) the most agreeing links of each
-    class are confirmed on full sets and joined to components, then the other links between components; (6) what
-    still shares a bucket across components is compared too. All tables live in the shared checkpoint folder."""
+    The steps: (1) a sketch per row; (2) classes of rows with equal sets; (3) the table
+    keys of each class; (4) in each bucket links of all members to its smallest and largest; (5) of each class the
+    most agreeing and two drawn links are confirmed on full sets and joined to components; (6) the other links between
+    components are confirmed, and members of buckets that still hold several components are compared by their rarest
+    shingles, which loses no link among them. All tables live in the shared checkpoint folder."""
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
     docs = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__txt"))
-    rows = stage(sketch(docs, "__id", "__txt", words), "sketch")
+    rows = stage(sketch(docs, "__id", "__txt", words).withColumn("rid", F.monotonically_increasing_id()), "sketch")
     full = rows.where("size > 0 and id is not null")
-    classes = stage(full.groupBy("size", "f0", "f1").agg(F.min("id").cast("long").alias("node"), F.min("least").alias("least")), "classes")
-    nodes = classes.select("node").distinct()
+    stands = F.min(F.struct("id", "rid", "text_hash")).alias("r")
+    classes = full.groupBy("size", "f0", "f1").agg(stands, F.min("least").alias("least"))
+    classes = stage(classes.select("size", "f0", "f1", "least", F.col("r.rid").alias("node"), F.col("r.id").alias("id"), F.col("r.text_hash").alias("text_hash")), "classes")
+    nodes = classes.select("node")
     keys = with_keys(classes)
-    draw = F.struct(F.xxhash64("node", "key").alias("h"), "node")
-    buckets = keys.groupBy("key").agg(F.count("*").alias("n"), F.min(draw)["node"].alias("one"), F.max(draw)["node"].alias("two")).where("n > 1").drop("n")
+    buckets = keys.groupBy("key").agg(F.min("node").alias("one"), F.max("node").alias("two")).where("one < two")
     members = stage(keys.join(buckets, "key"), "buckets")
     links = members.select(F.col("node").alias("a"), F.explode(F.array("one", "two")).alias("b")).where("a != b").select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     near = stage(with_agreement(links, classes, percent), "near")
-    ends = near.select("a", "b", F.col("agree").alias("n")).unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("agree").alias("n")))
-    best = ends.groupBy("a").agg(F.max(F.struct("n", F.xxhash64("a", "b").alias("h"), "b")).alias("x1"),
-                                 F.max(F.struct(F.xxhash64("b", "a").alias("h"), "b")).alias("x2"),
-                                 F.min(F.struct(F.xxhash64("b", "a").alias("h"), "b")).alias("x3"))
+    ends = near.select("a", "b", "agree").unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "agree"))
+    best = ends.groupBy("a").agg(F.max(F.struct("agree", "b")).alias("x1"), F.max(F.struct(F.xxhash64("a", "b").alias("h"), "b")).alias("x2"),
+                                 F.min(F.struct(F.xxhash64("a", "b").alias("h"), "b")).alias("x3"))
     first = best.select("a", F.explode(F.array("x1.b", "x2.b", "x3.b")).alias("b")).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-    def held(pairs):
-        return confirm(pairs, docs, "__id", "__txt", words, percent)
-
-    done = stage(first, "tried")
-    good = stage(held(done), "links")
-    comp = stage(components(spark, good, nodes), "components")
-
-    def apart(pairs, comp):
-        one = comp.select(F.col("node").alias("a"), F.col("comp").alias("ca"))
-        two = comp.select(F.col("node").alias("b"), F.col("comp").alias("cb"))
-        return pairs.join(one, "a").join(two, "b").where("ca != cb").select("a", "b")
-
-    rest = stage(apart(near.select("a", "b").join(done, ["a", "b"], "left_anti"), comp), "rest")
-    if not rest.isEmpty():
-        done = done.unionByName(rest)
-        good = good.unionByName(stage(held(rest), "links"))
-        comp = stage(components(spark, good, nodes), "components")
-    # buckets that still hold several components: pairs across them, once each
-    where = members.select("key", "node").join(comp, "node")
-    mixed = where.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi and n > 3").select("key")
-    part = stage(where.join(mixed, "key").join(classes.select("node", "size"), "node"), "mixed")
-    cross = part.alias("p").join(part.alias("q"), (F.col("p.key") == F.col("q.key")) & (F.col("p.node") < F.col("q.node")) & (F.col("p.comp") != F.col("q.comp"))
-                                 & F.expr(f"100 * least(p.size, q.size) >= {percent} * greatest(p.size, q.size)"))
-    cross = cross.select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct().join(done, ["a", "b"], "left_anti")
-    last = stage(with_agreement(cross, classes, percent).select("a", "b"), "last")
-    if not last.isEmpty():
-        good = good.unionByName(stage(held(last), "links"))
-        comp = stage(components(spark, good, nodes), "components")
-    ids = classes.drop("least").join(comp, "node").select("size", "f0", "f1", "comp")
-    found = rows.drop("least").join(ids, ["size", "f0", "f1"], "left")
+    first = stage(first, "tried")
+    crowded = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 3").select("key")
+    crowd = members.select("key", "node").join(crowded, "key")
+    concerned = near.select(F.explode(F.array("a", "b")).alias("node")).unionByName(crowd.select("node")).distinct()
+    sets = full_sets(concerned, classes, docs, words)
+    comp = stage(components(spark, stage(confirm(first, sets, percent), "links"), nodes), "components")
+    rest = across(near.select("a", "b"), comp)
+    # buckets of more than three members may hold links between others than the two drawn
+    where = crowd.join(comp, "node")
+    mixed = where.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
+    inside = stage(where.join(mixed, "key").select("node", "comp").distinct(), "mixed")
+    more = rest.unionByName(prefix_pairs(inside, sets, percent)).distinct().join(first, ["a", "b"], "left_anti")
+    more = stage(more, "more")
+    if not more.isEmpty():
+        good = across(confirm(more, sets, percent), comp, ends=True)
+        top = connected_components(spark, good.select(F.col("ca").alias("src"), F.col("cb").alias("dst")).distinct())
+        comp = comp.join(top.select(F.col("node").alias("comp"), "component"), "comp", "left").select("node", F.coalesce("component", "comp").alias("comp"))
+    named = classes.drop("least").join(comp, "node")
+    names = named.groupBy("comp").agg(F.min("id").alias("component"))
+    ids = named.join(names, "comp").select("size", "f0", "f1", F.col("component").alias("comp"))
+    found = rows.drop("least", "rid").join(ids, ["size", "f0", "f1"], "left")
     own = F.when(F.col("id").isNotNull(), F.coalesce("comp", "id"))
     kind = rows.schema["id"].dataType
     return found.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), own.cast(kind).alias("component_id"),
