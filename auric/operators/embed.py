@@ -15,6 +15,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+
+class DimensionError(ValueError):
+    """The encoder's vectors have another length than the model's."""
+
+
 Encoder = Callable[[list[str], int], np.ndarray]
 
 
@@ -34,21 +39,37 @@ def hashing_encoder(texts: list[str], dim: int) -> np.ndarray:
 
 def encode(df: DataFrame, key: str, text: str, dim: int, encoder: Encoder = hashing_encoder,
            batch_size: int = 256) -> DataFrame:
-    """(key, embedding array<float>) for every row; a batch whose encoding
-    fails yields no rows (counted by the caller against the input)."""
+    """(key, embedding array<float>, falhou) for every row. When a batch
+    fails, its rows are encoded one by one; a row that still fails keeps its
+    key with a NULL embedding and ``falhou`` set, so nothing is lost."""
+
+    def vectors(texts: list[str]) -> list:
+        vecs = encoder(texts, dim)
+        if vecs.shape[1] != dim:
+            raise DimensionError(f"encoder produced {vecs.shape[1]} dimensions, expected {dim}")
+        return [v.astype(np.float32) for v in vecs]
+
+    def one(text: str):
+        try:
+            return vectors([text])[0]
+        except DimensionError:
+            raise
+        except Exception:  # noqa: BLE001 — reported per row in ``falhou``
+            return None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for start in range(0, len(pdf), batch_size):
                 part = pdf.iloc[start:start + batch_size]
+                texts = part[text].tolist()
                 try:
-                    vecs = encoder(part[text].tolist(), dim)
-                except Exception:  # noqa: BLE001 — a failed batch is skipped and counted
-                    continue
-                if vecs.shape[1] != dim:
-                    raise ValueError(f"encoder produced {vecs.shape[1]} dimensions, expected {dim}")
-                yield pd.DataFrame({key: part[key].to_numpy(),
-                                    "embedding": [v.astype(np.float32) for v in vecs]})
+                    vecs = vectors(texts)
+                except DimensionError:
+                    raise
+                except Exception:  # noqa: BLE001 — find the rows that fail
+                    vecs = [one(t) for t in texts]
+                yield pd.DataFrame({key: part[key].to_numpy(), "embedding": vecs,
+                                    "falhou": [v is None for v in vecs]})
 
     key_type = dict(df.dtypes)[key]
-    return df.select(key, text).mapInPandas(run, f"{key} {key_type}, embedding array<float>")
+    return df.select(key, text).mapInPandas(run, f"{key} {key_type}, embedding array<float>, falhou boolean")

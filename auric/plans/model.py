@@ -44,6 +44,7 @@ TYPE_BY_PTYPE = {
 }
 INTERACTION_BY_EVENT = {
     "view": "visualização", "signup": "início", "purchase": "conclusão", "click": "avaliação",
+    "error": "curtida",
 }
 
 
@@ -84,9 +85,16 @@ class Model:
             F.date_add(F.lit(dt.date(2023, 12, 1)), F.pmod("p_partkey", F.lit(45)).cast("int")).alias("data_publicacao"),
         )
 
+    def interacao_de(self, tipos) -> DataFrame:
+        """Interactions of the given types; the filter is put on the event type, where the scan takes it."""
+        eventos = [e for e, t in INTERACTION_BY_EVENT.items() if t in tipos]
+        return self._interacao(self.t("events").where(F.col("event_type").isin(eventos)))
+
     @cached_property
     def interacao(self) -> DataFrame:
-        e = self.t("events").where(F.col("event_type").isin(list(INTERACTION_BY_EVENT)))
+        return self._interacao(self.t("events"))
+
+    def _interacao(self, e: DataFrame) -> DataFrame:
         tipo = F.create_map(*[F.lit(x) for kv in INTERACTION_BY_EVENT.items() for x in kv])
         return e.select(
             F.col("event_id").alias("interacao_id"),
@@ -199,8 +207,8 @@ class Model:
         d = self.t("documents")
         return d.select(
             F.col("doc_id").alias("comentario_id"),
-            F.pmod("doc_id", F.lit(150)).alias("usuario_id"),
-            F.pmod("doc_id", F.lit(100)).alias("conteudo_id"),
+            F.col("doc_id").alias("usuario_id"),
+            (F.col("doc_id") + 1).alias("conteudo_id"),
             (F.pmod("doc_id", F.lit(5)) + 1).cast("int").alias("avaliacao"),
             F.col("text").alias("comentario"),
             F.array("lang", "source").alias("tags"),

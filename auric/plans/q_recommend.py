@@ -60,10 +60,12 @@ def _encode(m):
         "conteudo_id", F.col("titulo").alias("texto"))
     enc = embed.encode(pending, "conteudo_id", "texto", dim=64)
     return enc.select("conteudo_id", F.size("embedding").alias("dimensao"),
-                      F.round(V.norm("embedding"), 6).alias("norma"))
+                      F.round(V.norm("embedding"), 6).alias("norma"), "falhou")
 
 
-query("embedding_encode")(_encode)
+query("embedding_encode", with_("conteudo", "embedding") + """
+SELECT conteudo_id, 64 AS dimensao, 1.0::DOUBLE AS norma, FALSE AS falhou FROM conteudo
+ WHERE conteudo_id NOT IN (SELECT conteudo_id FROM embedding)""")(_encode)
 
 query("vector_normalize", """
 SELECT vec_id, round(sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))), 6) AS norma,

@@ -47,10 +47,10 @@ CATALOG_REQUIRED = ["conteudo_id", "titulo", "tipo", "categoria", "nivel", "carg
 # (changed title every 34th → newer version; otherwise an identical copy),
 # and a second line in the base file for every 19th item (same-file conflict)
 CATALOG_PARTS = [
-    ("dados/brutos/catalogo.csv", "p_partkey + 2", "TRUE", {}),
+    ("dados/brutos/catalogo.csv", "p_partkey * 2", "TRUE", {}),
     ("dados/brutos/lote_2/catalogo.csv", "p_partkey + 2", "p_partkey % 17 = 0",
      {"titulo": "CASE WHEN p_partkey % 34 = 0 THEN p_name || ' (2a ed.)' ELSE " + "{titulo}" + " END"}),
-    ("dados/brutos/catalogo.csv", "p_partkey + 1000002", "p_partkey % 19 = 0",
+    ("dados/brutos/catalogo.csv", "p_partkey * 2 + 1", "p_partkey % 19 = 0",
      {"titulo": "p_name || ' (rev)'"}),
 ]
 
@@ -91,8 +91,8 @@ USER_PARTS = [
 
 _TS = "ts"
 EVENT_COLS = {
-    "usuario_id": f"CASE WHEN event_id % 101 = 7 THEN NULL WHEN event_id % 101 = 8 THEN '9999' ELSE CAST(user_id AS {S}) END",
-    "conteudo_id": f"""CASE WHEN event_id % 103 = 9 THEN '5000' ELSE
+    "usuario_id": f"CASE WHEN event_id % 101 = 7 THEN NULL WHEN event_id % 101 = 8 THEN '999999999' ELSE CAST(user_id AS {S}) END",
+    "conteudo_id": f"""CASE WHEN event_id % 103 = 9 THEN '999999999' ELSE
                         regexp_extract(props, '[0-9]+', 0) END""",
     "tipo_interacao": """CASE event_type WHEN 'view' THEN CASE WHEN event_id % 2 = 0 THEN 'VISUALIZACAO' ELSE 'visualização' END
                            WHEN 'signup' THEN 'inicio' WHEN 'purchase' THEN 'Conclusão' WHEN 'click' THEN 'avaliação'
@@ -117,8 +117,8 @@ EVENT_PARTS = [
 ]
 
 COMMENT_COLS = {
-    "usuario_id": f"CAST(doc_id % 150 AS {S})",
-    "conteudo_id": f"CASE WHEN doc_id % 97 = 11 THEN '7777' ELSE CAST(doc_id % 100 AS {S}) END",
+    "usuario_id": f"CAST(doc_id AS {S})",
+    "conteudo_id": f"CASE WHEN doc_id % 97 = 11 THEN '999999999' ELSE CAST(doc_id + 1 AS {S}) END",
     "avaliacao": f"CASE WHEN doc_id % 53 = 2 THEN '0' WHEN doc_id % 53 = 3 THEN '7' ELSE CAST(doc_id % 5 + 1 AS {S}) END",
     "comentario": "CASE WHEN doc_id % 59 = 4 THEN '   ' ELSE text END",
     "tags": """CASE WHEN doc_id % 43 = 5 THEN 'python' WHEN doc_id % 43 = 6 THEN '{"a": 1}'
@@ -133,8 +133,8 @@ COMMENT_PARTS = [
 ]
 
 REC_COLS = {
-    "usuario_id": f"CAST(l_orderkey % 150 AS {S})",
-    "conteudo_id": f"CASE WHEN l_orderkey % 89 = 1 THEN '9999' ELSE CAST(l_partkey % 100 AS {S}) END",
+    "usuario_id": f"CAST(CAST(floor(l_orderkey / 40) AS BIGINT) AS {S})",
+    "conteudo_id": f"CASE WHEN l_orderkey % 89 = 1 THEN '999999999' ELSE CAST(l_partkey AS {S}) END",
     "pontuacao": f"CAST(round(l_discount * 1000, 2) AS {S})",
     "posicao": f"CASE WHEN l_orderkey % 71 = 3 THEN '0' ELSE CAST(l_linenumber AS {S}) END",
     "classificacao": """CASE WHEN l_orderkey % 67 = 2 THEN 'otimo' WHEN l_discount * 1000 >= 70 THEN 'Positivo'
@@ -171,7 +171,7 @@ def bronze_sql(fonte: str) -> str:
     for origem, linha, where, over in parts:
         exprs = part_exprs(cols, over)
         body = ", ".join(f"({e}) AS {n}" for n, e in exprs.items())
-        selects.append(f"SELECT '{origem}' AS _origem, CAST({linha} AS INTEGER) AS _linha, {body} "
+        selects.append(f"SELECT '{origem}' AS _origem, CAST({linha} AS BIGINT) AS _linha, {body} "
                        f"FROM {table} WHERE {where}")
     return "\nUNION ALL\n".join(selects)
 
@@ -189,7 +189,7 @@ def bronze(spark, sf_dir: str, fonte: str):
     for origem, linha, where, over in parts:
         exprs = part_exprs(cols, over)
         df = base.where(F.expr(where)).select(
-            F.lit(origem).alias("_origem"), F.expr(linha).cast("int").alias("_linha"),
+            F.lit(origem).alias("_origem"), F.expr(f"cast({linha} as bigint)").alias("_linha"),
             *[F.expr(e).cast("string").alias(n) for n, e in exprs.items()])
         out = df if out is None else out.unionByName(df)
     return out

@@ -32,4 +32,6 @@ def ingest_available(spark: SparkSession, landing: str, columns: list[str], bron
     q = (audited.writeStream.format("parquet").option("checkpointLocation", ckpt)
          .partitionBy("_execucao_id").outputMode("append").trigger(availableNow=True).start(bronze))
     q.awaitTermination()
-    return sum(p.get("numInputRows", 0) for p in q.recentProgress)
+    # counted from what was written: the progress list keeps recent batches only
+    written = spark.read.schema(string_schema(columns).add("_execucao_id", "string")).parquet(bronze)
+    return written.where(F.col("_execucao_id") == run_id).count()

@@ -25,7 +25,7 @@ def duck():
 
 def test_every_query_has_an_oracle_or_is_listed():
     no_sql = sorted(set(QUERIES) - set(SQL))
-    assert no_sql == ["embedding_encode"]
+    assert [q for q in no_sql if not q.startswith(("op", "pipeline"))] == []
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
