@@ -59,11 +59,13 @@ def may_hold(text: Column) -> Column:
 
 
 def kind_of(entity: Column) -> Column:
-    """The first kind whose pattern covers the whole entity; patterns look around, so ends are anchored only."""
-    out = F.lit(None).cast("string")
-    for kind, pattern in reversed(PATTERNS.items()):
-        out = F.when(entity.rlike(rf"\A(?:{pattern})\z"), kind).otherwise(out)
-    return out
+    """The kind of a match of the patterns, by what only that kind has."""
+    digits = F.length(F.regexp_replace(entity, "[^0-9]", ""))
+    return (F.when(entity.contains("@"), "email").when(entity.rlike(rf"\A(?:{MALE})\.? "), "name_m").when(entity.rlike(rf"\A(?:{FEMALE})\.? "), "name_f")
+            .when(entity.rlike(rf"\A(?i:{SECRETS})\s*[=:]"), "secret").when(entity.rlike(r"\A(?:AKIA|ASIA|gh[pousr]_|sk-)"), "key")
+            .when(entity.rlike(r"\A[A-Z]{2}[0-9]{2}"), "iban").when(entity.rlike(r"\A[0-9]{1,3}(?:\.[0-9]{1,3}){3}\z"), "ip")
+            .when(entity.rlike(r"\A[0-9]{3}-[0-9]{2}-[0-9]{4}\z"), "ssn")
+            .when(entity.startswith("+") | entity.contains("(") | (digits < 13), "phone").otherwise("card"))
 
 
 def lead_of(entity: Column, kind: Column) -> Column:
@@ -109,7 +111,7 @@ def luhn(digits: Column) -> Column:
                                    .otherwise(digit(c) * 2 - F.when(digit(c) > 4, 9).otherwise(0))), F.lit(0), lambda s, x: s + x) % 10
 
 
-def surrogate(kind: Column, core: Column, bytes_: Column) -> Column:
+def surrogate(kind: Column, core: Column, bytes_: Column, mapped: Column) -> Column:
     """The surrogate core that the hash bytes give for an entity."""
     syllable = lambda values, k: literal(values)[bytes_[k] % 32]
     word = lambda values, k: F.concat(*[syllable(values, k + j) for j in range(4)])
@@ -124,16 +126,28 @@ def surrogate(kind: Column, core: Column, bytes_: Column) -> Column:
     private = F.regexp_extract(core, r"\A(?:10\.|127\.|192\.168\.|172\.(?:1[6-9]|2[0-9]|3[01])\.)", 0)
     octets = F.transform(F.sequence(F.lit(1), 4 - F.length(F.regexp_replace(private, r"[^.]", ""))), lambda i: (
         F.when((private == "") & (i == 1), bytes_[i] % 88 + 11).otherwise(bytes_[i] % 254 + 1)).cast("string"))
-    mapped = same_class(core, bytes_, F.when(kind == "card", 1).when((kind == "phone") & (F.length(core) > 10), F.length(core) - 10)
-                        .when(kind == "iban", 2).when((kind == "key") & core.startswith("sk-"), 3).when(kind == "key", 4).otherwise(0))
-    body = F.substring(mapped, F.lit(1), F.length(mapped) - 1)
-    check = (10 - luhn(F.concat(body, F.lit("0")))) % 10
+    check = (10 - luhn(F.concat(F.substring(mapped, F.lit(1), F.length(mapped) - 1), F.lit("0")))) % 10
     return (F.when(kind == "ip", F.concat(private, F.array_join(octets, ".")))
             .when(kind.startswith("name"), F.when(core.rlike(r"\p{IsCyrillic}"), person(CYRILLIC, F.lit("я"), F.lit("й"))).otherwise(person(LATIN, F.lit("a"), F.lit("o"))))
-            .when((kind == "card") & (luhn(core) == 0), F.concat(body, check.cast("string")))
+            .when((kind == "card") & (luhn(core) == 0), F.concat(F.substring(mapped, F.lit(1), F.length(mapped) - 1), check.cast("string")))
             .otherwise(mapped))
 
 
+def kept_of(kind: Column, core: Column) -> Column:
+    """How many of a core's first characters stay: a card's network digit, a number's country, a key's form."""
+    return (F.when(kind == "card", 1).when((kind == "phone") & (F.length(core) > 10), F.length(core) - 10)
+            .when(kind == "iban", 2).when((kind == "key") & core.startswith("sk-"), 3).when(kind == "key", 4).otherwise(0))
+
+
+def with_fresh(state: DataFrame, key: Column) -> DataFrame:
+    """``state`` (kind, core, attempt) with the surrogate of that attempt. The hash and the mapped core are columns of
+    their own, as they are used for every character."""
+    kind, core = F.col("kind"), F.col("core")
+    hashed = state.withColumn("bytes", stream(key, kind, core, F.col("attempt")))
+    hashed = hashed.withColumn("mapped", same_class(core, F.col("bytes"), kept_of(kind, core)))
+    return hashed.withColumn("fresh", surrogate(kind, core, F.col("bytes"), F.col("mapped"))).drop("bytes", "mapped")
+
+
 def rendered(part: Column, kind: Column, fresh: Column) -> Column:
     """The surrogate in the spelling of one occurrence: its punctuation, its capitals."""
     place = F.aggregate(F.split(part, ""), F.struct(F.lit("").alias("t"), F.lit(0).alias("n")), lambda s, c: F.when(
@@ -145,15 +159,21 @@ def rendered(part: Column, kind: Column, fresh: Column) -> Column:
             .otherwise(fresh))
 
 
+def shuffle_partitions(df: DataFrame) -> int:
+    """The session's number of shuffle partitions, for small rows that take much work: AQE would join them to few."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def assign(entities: DataFrame, key: Column) -> DataFrame:
     """(kind, core, fresh) of distinct (kind, core): surrogates that differ from each other and from all real cores.
 
     An entity that shares its surrogate with one that has it by right of an earlier attempt (or a smaller hash), or
     whose surrogate is an entity of the table, tries the next; rounds go on until nobody does."""
     real = stage(entities.select("kind", "core").distinct(), "entities")
+    parts = shuffle_partitions(entities)
     state = real.withColumn("attempt", F.lit(0))
     for _ in range(MOST_ROUNDS):
-        now = stage(state.withColumn("fresh", surrogate(F.col("kind"), F.col("core"), stream(key, F.col("kind"), F.col("core"), F.col("attempt")))), "surrogates")
+        now = stage(with_fresh(state.repartition(parts, "kind", "core"), key), "surrogates")
         holder = now.groupBy("kind", "fresh").agg(F.count("*").alias("n"), F.min(F.struct("attempt", F.xxhash64("core").alias("h"), "core"))["core"].alias("holder"))
         shared = now.join(holder.where("n > 1"), ["kind", "fresh"]).where("core != holder").select("kind", "core")
         taken = now.join(real.select("kind", F.col("core").alias("fresh")), ["kind", "fresh"], "left_semi").select("kind", "core")
@@ -184,7 +204,8 @@ def replace_pii(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     some = may_hold(F.col("txt"))
     held = cur.where(some).withColumn("k", F.md5("txt"))
     found = held.select("k", F.regexp_extract_all("txt", F.lit(ANY), F.lit(0)).alias("all")).groupBy("k").agg(F.min("all").alias("all"))
-    parts = found.select("k", F.posexplode("all").alias("n", "entity")).withColumn("kind", kind_of(F.col("entity")))
+    parts = found.select("k", F.posexplode("all").alias("n", "entity")).repartition(shuffle_partitions(docs), "k", "n")
+    parts = parts.withColumn("kind", kind_of(F.col("entity")))
     parts = parts.withColumn("lead", lead_of(F.col("entity"), F.col("kind")))
     parts = parts.withColumn("part", F.substring("entity", F.length("lead") + 1, F.length("entity")))
     parts = stage(parts.withColumn("core", core_of(F.col("part"), F.col("kind"))).select("k", "n", "kind", "lead", "part", "core"), "parts")

@@ -123,7 +123,7 @@ def test_surrogates_stay_distinct(spark):
     df = spark.createDataFrame([("secret", c) for c in cores], "kind string, core string")
     real = pii.surrogate
     try:
-        pii.surrogate = lambda kind, core, b: pii.F.lpad(((b[0] * 256 + b[1]) % 3000).cast("string"), 8, "0")
+        pii.surrogate = lambda kind, core, b, mapped: pii.F.lpad(((b[0] * 256 + b[1]) % 3000).cast("string"), 8, "0")
         got = pii.assign(df, pii.F.lit("k")).collect()
     finally:
         pii.surrogate = real
