@@ -18,6 +18,9 @@ BLOCK = 64  # SHA-256 block size in bytes
 # classes, so every engine reads them the same way).
 EMAIL_IN_TEXT = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 PHONE_IN_TEXT = r"\(?[0-9]{2}\)?\s?9?[0-9]{4}-?[0-9]{4}"
+# For the leak scan: a number that stands alone (not inside a hash or an id), and CPF as written in documents.
+PHONE_ALONE = r"(?:^|[^0-9A-Za-z])\(?[0-9]{2}\)?[ ]?9?[0-9]{4}-[0-9]{4}(?:[^0-9A-Za-z]|$)"
+CPF_IN_TEXT = r"(?:^|[^0-9])[0-9]{3}\.[0-9]{3}\.[0-9]{3}-[0-9]{2}(?:[^0-9]|$)"
 EMAIL_FORMAT = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
 CPF_FORMAT = r"^[0-9]{11}$"
 
@@ -75,5 +78,5 @@ def digits_only(c) -> Column:
 
 
 def has_pii(c) -> Column:
-    """Row text still holding an e-mail address or a phone number."""
-    return _c(c).rlike(EMAIL_IN_TEXT) | _c(c).rlike(PHONE_IN_TEXT)
+    """Row text still holding an e-mail address, a phone number or a CPF."""
+    return _c(c).rlike(EMAIL_IN_TEXT) | _c(c).rlike(PHONE_ALONE) | _c(c).rlike(CPF_IN_TEXT)

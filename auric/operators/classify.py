@@ -162,8 +162,10 @@ def users(raw: DataFrame, run_date: dt.date, key: str, salt: str) -> DataFrame:
         *AUDIT, "_hash", "fonte",
         F.coalesce(F.col("usuario_id"), F.concat(F.lit("linha "), F.col("_linha"))).alias("chave_registro"),
         "regra", "severidade", "mensagem",
-        # the raw record of a rejected user never carries personal fields
-        F.when(F.col("regra").isNotNull(), F.lit(None).cast("string")).alias("registro"),
+        # the record kept of a rejected user: as delivered, but personal fields masked and the document number left out
+        F.when(F.col("regra").isNotNull(), F.to_json(F.struct(
+            "usuario_id", privacy.mask_name(clean_text("nome")).alias("nome"), privacy.mask_email(clean_text("email")).alias("email"),
+            "cidade", "uf", "data_cadastro", "atualizado_em"))).alias("registro"),
     )
 
 

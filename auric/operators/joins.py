@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+# of compressed files, which grow ten to twenty times in memory
+BROADCAST_LIMIT_BYTES = 8 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int:

@@ -10,8 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Personal columns and the layers each may reach.
-POLICY = {
+# The columns that may reach Gold. A column that is not listed is blocked there.
+GOLD = frozenset(
+    "conteudo_id titulo tipo categoria nivel carga_horaria_min data_publicacao usuario_pseudo nome_mascarado "
+    "faixa_etaria uf data_cadastro registros_origem interacao_id tipo_interacao data_hora data mes tempo_consumido "
+    "percentual_conclusao avaliacao_atribuida mes_referencia interacoes pessoas_ativas conclusoes "
+    "minutos_consumidos pontuacao posicao classificacao gerado_em convertida convertida_em".split())
+# Personal columns and the layers below Gold that each may reach.
+PERSONAL = {
     "nome": {"bronze", "silver"},
     "email": {"bronze", "silver"},
     "cpf": {"bronze", "silver"},
@@ -24,7 +30,9 @@ POLICY = {
 
 
 def allowed(column: str, layer: str) -> bool:
-    return layer in POLICY.get(column, {layer})
+    if layer == "gold":
+        return column in GOLD
+    return layer in PERSONAL.get(column, {layer})
 
 
 def enforce(df: DataFrame, layer: str) -> tuple[DataFrame, list[str]]:

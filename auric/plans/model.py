@@ -180,7 +180,7 @@ class Model:
         account, earliest registration, member count. Survivor chosen with a
         partial-aggregating ``max_by`` (no window over a possibly huge group)."""
         u = self.usuario.join(self.components, "usuario_id")
-        order = F.struct(F.col("atualizado_em").isNotNull(), F.col("atualizado_em"), F.col("usuario_id"))
+        order = F.struct(F.col("atualizado_em").isNotNull(), F.col("atualizado_em"), -F.col("usuario_id"))  # ties: lowest id
         attrs = F.struct("nome_mascarado", "email_mascarado", "faixa_etaria", "cidade", "uf", "atualizado_em")
         g = u.groupBy("usuario_mestre_id").agg(
             F.max_by(attrs, order).alias("s"),
@@ -284,6 +284,12 @@ class Model:
 
         return gold.fact_interaction(self.interacao, self.person_of)
 
+    @cached_property
+    def dim_usuario(self) -> DataFrame:
+        """One row per person with the columns that may be published: no account id, e-mail or city."""
+        return self.mestre.select("usuario_pseudo", "nome_mascarado", "faixa_etaria", "uf", "data_cadastro",
+                                  "registros_origem")
+
     @cached_property
     def dim_conteudo(self) -> DataFrame:
         return self.conteudo

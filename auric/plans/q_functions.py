@@ -199,21 +199,27 @@ def _scan(m):
     c = m.t("conversations").select(F.lit("conversations").alias("tabela"), F.col("text").alias("t"))
     u = m.bronze("usuarios").select(F.lit("bronze_usuarios").alias("tabela"),
                                     F.concat_ws(" ", "nome", "email", "telefone").alias("t"))
-    g = m.mestre.select(F.lit("gold_dim_usuario").alias("tabela"),
-                        F.concat_ws(" ", "usuario_pseudo", "nome_mascarado", "email_mascarado", "cidade", "uf")
-                        .alias("t"))
-    allt = d.unionByName(a).unionByName(c).unionByName(u).unionByName(g)
+    allt = d.unionByName(a).unionByName(c).unionByName(u)
+    for nome, df in (("gold_dim_usuario", m.dim_usuario), ("gold_dim_conteudo", m.dim_conteudo),
+                     ("gold_fato_interacao", m.fato_interacao), ("gold_fato_recomendacao", m.fato_recomendacao)):
+        # whole rows: every column as text
+        allt = allt.unionByName(df.select(F.lit(nome).alias("tabela"), F.concat_ws(
+            " ", *[F.col(x).cast("string") for x in df.columns]).alias("t")))
     return allt.groupBy("tabela").agg(F.count(F.lit(1)).alias("linhas"),
                                       F.count_if(privacy.has_pii(F.col("t"))).alias("com_pii"))
 
 
-_PII = (f"(regexp_matches(t, '{privacy.EMAIL_IN_TEXT}') OR regexp_matches(t, '{privacy.PHONE_IN_TEXT}'))")
-query("pii_scan", with_(BU, "mestre") + f"""
+_PII = (f"(regexp_matches(t, '{privacy.EMAIL_IN_TEXT}') OR regexp_matches(t, '{privacy.PHONE_ALONE}') "
+        f"OR regexp_matches(t, '{privacy.CPF_IN_TEXT}'))")
+query("pii_scan", with_(BU, "mestre", "conteudo", "fato_interacao", "fato_recomendacao") + f"""
 SELECT tabela, count(*) AS linhas, count(*) FILTER (WHERE {_PII}) AS com_pii
   FROM (SELECT 'documents' AS tabela, text AS t FROM documents
         UNION ALL SELECT 'documents_anonimizados', {anonymize('text')} FROM documents
         UNION ALL SELECT 'conversations', text FROM conversations
         UNION ALL SELECT 'bronze_usuarios', concat_ws(' ', nome, email, telefone) FROM {BU}
-        UNION ALL SELECT 'gold_dim_usuario', concat_ws(' ', usuario_pseudo, nome_mascarado, email_mascarado, cidade, uf)
-                    FROM mestre) s
+        UNION ALL SELECT 'gold_dim_usuario', concat_ws(' ', usuario_pseudo, nome_mascarado, faixa_etaria, uf,
+                    data_cadastro, registros_origem) FROM mestre
+        UNION ALL SELECT 'gold_dim_conteudo', CAST(x AS VARCHAR) FROM conteudo x
+        UNION ALL SELECT 'gold_fato_interacao', CAST(x AS VARCHAR) FROM fato_interacao x
+        UNION ALL SELECT 'gold_fato_recomendacao', CAST(x AS VARCHAR) FROM fato_recomendacao x) s
  GROUP BY tabela""")(_scan)

@@ -18,7 +18,7 @@ class Query:
 
 
 REGISTRY: dict[str, Query] = {}
-_MODELS: dict[tuple[int, str], Model] = {}
+_MODELS: dict[tuple[str, str], Model] = {}
 
 
 def query(name: str, sql: str | None = None):
@@ -34,7 +34,7 @@ def query(name: str, sql: str | None = None):
 
 
 def model_for(spark: SparkSession, sf_dir: str) -> Model:
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)  # ids of objects are reused, those of applications are not
     if key not in _MODELS:
         _MODELS[key] = Model(spark, sf_dir)
     return _MODELS[key]

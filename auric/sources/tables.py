@@ -15,6 +15,8 @@ TABLES = (
 TEXT_TABLES = frozenset({"documents", "pages", "conversations"})
 # Scans smaller than this are left alone: a shuffle costs more than it saves.
 SPREAD_MIN_BYTES = 64 * 1024
+# Larger ones have splits enough of their own; shuffling them whole would cost more than idle cores.
+SPREAD_MAX_BYTES = 512 * 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool | None = None) -> DataFrame:
@@ -44,7 +46,7 @@ def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
 
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    if estimated_bytes(df) < min_bytes:
+    if not min_bytes <= estimated_bytes(df) <= SPREAD_MAX_BYTES:
         return df
     if df._jdf.queryExecution().executedPlan().execute().getNumPartitions() >= cores:
         return df

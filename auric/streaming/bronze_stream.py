@@ -5,7 +5,8 @@ A Structured Streaming file source over the landing folder with
 that arrived since the previous run (tracked in the checkpoint), appends
 the records to Bronze with audit columns and stops. A re-run after a
 failure resumes from the checkpoint, so no file is loaded twice. The
-checkpoint lives under the cluster's shared checkpoint folder.
+checkpoint stands beside the Bronze table it belongs to, so each source has
+its own and the next run finds it.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from auric.session import ensure_checkpoint_dir
 from auric.sources.files import string_schema
 
 
@@ -21,7 +21,7 @@ def ingest_available(spark: SparkSession, landing: str, columns: list[str], bron
                      checkpoint: str | None = None, fmt: str = "json") -> int:
     """Append every not-yet-seen file of ``landing`` to ``bronze``; returns
     the number of records written by this run."""
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/bronze-stream"
+    ckpt = checkpoint or f"{bronze.rstrip('/')}-checkpoint"
     stream = (spark.readStream.schema(string_schema(columns)).option("mode", "FAILFAST")
               .format(fmt).load(landing))
     root = landing.rstrip("/") + "/"

@@ -64,3 +64,11 @@ def test_copy_version_and_supersession(spark):
     assert got[(L1, 3)]["regra"] == "DUPLICADO"
     assert got[(L1, 4)]["regra"] == "CONFLITO_VERSAO" and got[(L1, 9)]["regra"] is None
     assert (L1, 5) not in got and got[(L2, 2)]["regra"] is None
+
+
+def test_rejected_users_keep_a_masked_record(spark):
+    from auric.plans.registry import model_for
+
+    rej = model_for(spark, "/root/testdata/sf0.001").cls_usuarios.where("regra is not null")
+    assert rej.count() > 0 and rej.where("registro is null").count() == 0
+    assert rej.where(r"registro rlike '(?i)cliente[0-9]+@|[0-9]{11}'").count() == 0

@@ -106,3 +106,19 @@ def test_secret_guard():
     with pytest.raises(ValueError):
         domain.check_secret("troque-por-um-valor-aleatorio", "x")
     assert domain.check_secret("a" * 16, "x") == "a" * 16
+
+
+def test_leak_scan_patterns(spark):
+    from auric.functions.privacy import has_pii
+    from pyspark.sql import functions as F
+
+    rows = [("a1234567890b", False), ("3f71234567890ab", False), ("123.456.789-09", True), ("tel (11) 98765-4321.", True),
+            ("x@y.example", True), ("2024-01-15 10:00:00", False), ("12345678901", False)]
+    df = spark.createDataFrame(rows, "t string, want boolean")
+    assert df.where(has_pii(F.col("t")) != F.col("want")).count() == 0
+
+
+def test_policy_denies_unknown_columns():
+    from auric.operators.policy import allowed
+
+    assert not allowed("usuario_mestre_id", "gold") and not allowed("new_column", "gold") and allowed("uf", "gold")
