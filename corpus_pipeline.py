@@ -38,14 +38,16 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that with the smallest id; rows repeated with the same id and
     text are one document, of which one row stays. Rows with a null id stay."""
-    found = near_dup.near_duplicates(docs.select("doc_id", "text"))
-    kept = found.where("kept and doc_id is not null").groupBy("doc_id", "text_hash").agg(F.count("*").alias("n"))
-    row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
-    rows = docs.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("text_hash"), row).join(kept, ["doc_id", "text_hash"])
-    once = rows.where("n = 1").select("row")
-    again = rows.where("n > 1").groupBy("doc_id", "text_hash").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row")
-    out = once.unionByName(again).unionByName(docs.where("doc_id is null").select(row))
-    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    key = ["doc_id", "text_hash"]
+    found = stage(near_dup.near_duplicates(docs.select("doc_id", "text")).where("doc_id is not null"), "near")
+    leave = found.groupBy(*key).agg(F.min("kept").alias("kept"), F.count("*").alias("n")).where("not kept or n > 1")
+    leave = stage(leave, "leave")
+    if leave.count() <= near_dup.BROADCAST_ROWS:  # else both sides are shuffled
+        leave = F.broadcast(leave)
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
+    once = rows.join(leave, key, "left_anti").select("row")
+    again = rows.join(leave.where("kept"), key).groupBy(*key).agg(F.min_by("row", F.to_json("row")).alias("row")).select("row")
+    return once.unionByName(again).select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
