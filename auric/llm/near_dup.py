@@ -196,7 +196,8 @@ def across(pairs: DataFrame, comp: DataFrame, ends: bool = False) -> DataFrame:
 def prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of ``nodes`` (node, comp) in two components that share one of their rarest shingles: of a pair at
     the similarity, each set's size - ceil(percent / 100 * size) + 1 rarest must share one (shingles ordered alike for
-    all by their number of nodes). This misses no link, and what edits have made unique rules a document out."""
+    all by their number of nodes), the first of them early enough in both. This misses no link, and what edits have
+    made unique rules a document out."""
 
     def scan(batches):
         for batch in batches:
@@ -209,10 +210,12 @@ def prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("node").orderBy("n", "shingle"))
     # a shingle of one node cannot be shared, but takes its place among the rarest
     ranked = sets.join(count, "shingle", "left").withColumn("n", F.coalesce("n", F.lit(1))).withColumn("k", rank)
-    prefix = ranked.where(F.expr(f"k <= size - ceil({percent} * size / 100) + 1 and n > 1")).select("node", "shingle", "size").join(nodes, "node")
+    prefix = ranked.where(F.expr(f"k <= size - ceil({percent} * size / 100) + 1 and n > 1")).select("node", "shingle", "size", "k").join(nodes, "node")
     p, q = prefix.alias("p"), prefix.alias("q")
     return p.join(q, (F.col("p.shingle") == F.col("q.shingle")) & (F.col("p.node") < F.col("q.node")) & (F.col("p.comp") != F.col("q.comp"))
-                  & F.expr(f"100 * least(p.size, q.size) >= {percent} * greatest(p.size, q.size)")).select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
+                  & F.expr(f"100 * least(p.size, q.size) >= {percent} * greatest(p.size, q.size)")
+                  # after the first shingle that they share, at most these many can follow in both
+                  & F.expr(f"(100 + {percent}) * (1 + least(p.size - p.k, q.size - q.k)) >= {percent} * (p.size + q.size)")).select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
