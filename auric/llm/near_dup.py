@@ -25,8 +25,10 @@ WORDS, PERCENT = 4, 80
 #: Collections on either side; at a similarity of 0.8 a pair shares no table with probability 3e-4 at 9.
 HALVES = 9
 VALUES = 4 * HALVES
-#: A pair goes on to the full sets if so many of its MinHash values agree; at 0.8 fewer do with probability 1e-5.
-LEAST_AGREE = 17
+#: A pair goes on to the full sets if so many of its MinHash values agree; at 0.8 fewer do with probability 3e-5.
+LEAST_AGREE = 19
+#: Links of which so many agree are confirmed in the first round, besides the best of each class.
+LIKELY = 26
 SALT = np.uint64(0xA0761D6478BD642F)
 #: Rows (24 bytes each) of a table that may be broadcast.
 BROADCAST_ROWS = 400_000
@@ -163,8 +165,8 @@ def full_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, words: int)
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that hold on the full shingle sets."""
-    both = pairs.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(
+    """The rows (a, b, ca, cb) of ``pairs``, nodes and their components, that hold on the full shingle sets."""
+    both = pairs.select("a", "b", "ca", "cb").join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
 
     def compare(batches):
@@ -174,9 +176,9 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 good.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+            yield batch.select(["a", "b", "ca", "cb"]).filter(pa.array(good, pa.bool_()))
 
-    return both.mapInArrow(compare, "a long, b long")
+    return both.mapInArrow(compare, "a long, b long, ca long, cb long")
 
 
 def components(spark, links: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -185,16 +187,15 @@ def components(spark, links: DataFrame, nodes: DataFrame) -> DataFrame:
     return nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("comp"))
 
 
-def across(pairs: DataFrame, comp: DataFrame, ends: bool = False) -> DataFrame:
-    """The pairs (a, b) whose ends lie in two components, with these (ca, cb) if ``ends``."""
+def across(pairs: DataFrame, comp: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose ends lie in two components, with these (ca, cb)."""
     one = comp.select(F.col("node").alias("a"), F.col("comp").alias("ca"))
     two = comp.select(F.col("node").alias("b"), F.col("comp").alias("cb"))
-    out = pairs.join(one, "a").join(two, "b").where("ca != cb")
-    return out.select("ca", "cb") if ends else out.select("a", "b")
+    return pairs.join(one, "a").join(two, "b").where("ca != cb").select("a", "b", "ca", "cb")
 
 
 def prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of ``nodes`` (node, comp) in two components that share one of their rarest shingles: of a pair at
+    """Pairs (a, b, ca, cb) of ``nodes`` (node, comp) in two components that share one of their rarest shingles: of a pair at
     the similarity, each set's size - ceil(percent / 100 * size) + 1 rarest must share one (shingles ordered alike for
     all by their number of nodes), the first of them early enough in both. This misses no link, and what edits have
     made unique rules a document out."""
@@ -215,7 +216,8 @@ def prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return p.join(q, (F.col("p.shingle") == F.col("q.shingle")) & (F.col("p.node") < F.col("q.node")) & (F.col("p.comp") != F.col("q.comp"))
                   & F.expr(f"100 * least(p.size, q.size) >= {percent} * greatest(p.size, q.size)")
                   # after the first shingle that they share, at most these many can follow in both
-                  & F.expr(f"(100 + {percent}) * (1 + least(p.size - p.k, q.size - q.k)) >= {percent} * (p.size + q.size)")).select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
+                  & F.expr(f"(100 + {percent}) * (1 + least(p.size - p.k, q.size - q.k)) >= {percent} * (p.size + q.size)")).select(
+        F.col("p.node").alias("a"), F.col("q.node").alias("b"), F.col("p.comp").alias("ca"), F.col("q.comp").alias("cb")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -231,9 +233,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Ids are integers.
 
     The steps: (1) a sketch per row; (2) classes of rows with equal sets; (3) the table
-    keys of each class; (4) in each bucket links of all members to its smallest and largest; (5) of each class the
-    most agreeing and two drawn links are confirmed on full sets and joined to components; (6) the other links between
-    components are confirmed, and members of buckets that still hold several components are compared by their rarest
+    keys of each class; (4) in each bucket links of all members to its smallest and largest; (5) the likely
+    links and the best of each class are confirmed on full sets and joined to components; (6) the other links between
+    components are confirmed, and then members of buckets that still hold several components are compared by their rarest
     shingles, which loses no link among them. All tables live in the shared checkpoint folder."""
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
@@ -251,27 +253,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     near = stage(with_agreement(links, classes, percent), "near")
     ends = near.select("a", "b", "agree").unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "agree"))
-    best = ends.groupBy("a").agg(F.max(F.struct("agree", "b")).alias("x1"), F.max(F.struct(F.xxhash64("a", "b").alias("h"), "b")).alias("x2"),
-                                 F.min(F.struct(F.xxhash64("a", "b").alias("h"), "b")).alias("x3"))
-    first = best.select("a", F.explode(F.array("x1.b", "x2.b", "x3.b")).alias("b")).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    first = stage(first, "tried")
+    best = ends.groupBy("a").agg(F.max(F.struct("agree", "b"))["b"].alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    first = stage(near.where(F.col("agree") >= LIKELY).select("a", "b").unionByName(best).distinct(), "tried")
     crowded = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 3").select("key")
     crowd = members.select("key", "node").join(crowded, "key")
     concerned = near.select(F.explode(F.array("a", "b")).alias("node")).unionByName(crowd.select("node")).distinct()
     sets = full_sets(concerned, classes, docs, words)
-    comp = stage(components(spark, stage(confirm(first, sets, percent), "links"), nodes), "components")
-    rest = across(near.select("a", "b"), comp)
+    comp = stage(components(spark, stage(confirm(first.withColumns({"ca": F.col("a"), "cb": F.col("b")}), sets, percent), "links"), nodes), "components")
+
+    def merged(comp, pairs):
+        """The components after confirming the pairs, which lie across them."""
+        good = stage(confirm(pairs, sets, percent).select("ca", "cb").distinct(), "joined")
+        if good.isEmpty():
+            return comp
+        top = connected_components(spark, good.select(F.col("ca").alias("src"), F.col("cb").alias("dst")))
+        top = top.select(F.col("node").alias("comp"), "component")
+        return stage(comp.join(top, "comp", "left").select("node", F.coalesce("component", "comp").alias("comp")), "components")
+
+    rest = stage(across(near.select("a", "b").join(first, ["a", "b"], "left_anti"), comp), "rest")
+    comp = merged(comp, rest)
     # buckets of more than three members may hold links between others than the two drawn
     where = crowd.join(comp, "node")
     mixed = where.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
     inside = stage(where.join(mixed, "key").select("node", "comp").distinct(), "mixed")
-    more = rest.unionByName(prefix_pairs(inside, sets, percent)).distinct().join(first, ["a", "b"], "left_anti")
-    more = stage(more, "more")
-    if not more.isEmpty():
-        good = across(confirm(more, sets, percent), comp, ends=True)
-        top = connected_components(spark, good.select(F.col("ca").alias("src"), F.col("cb").alias("dst")).distinct())
-        comp = comp.join(top.select(F.col("node").alias("comp"), "component"), "comp", "left").select("node", F.coalesce("component", "comp").alias("comp"))
+    tried = first.unionByName(rest.select("a", "b"))
+    comp = merged(comp, stage(prefix_pairs(inside, sets, percent).join(tried, ["a", "b"], "left_anti"), "more"))
     named = classes.drop("least").join(comp, "node")
     names = named.groupBy("comp").agg(F.min("id").alias("component"))
     ids = named.join(names, "comp").select("size", "f0", "f1", F.col("component").alias("comp"))
