@@ -2,12 +2,15 @@
 
 A small network predicts every token of a text from the tokens on both sides
 of it; a document's score is the sum of the logarithms of the probabilities
-that it gives to the document's own tokens. Tokens are hashed words. The
-network predicts the class of the token in the middle (a class of its own for
-each of the most frequent tokens, classes by ending for the others); within a
-class a token has its share of the counts over the whole corpus.
-
-Counts come from all documents. The network is trained in numpy by the tasks,
+that it gives to the document's own tokens. Tokens are whole words, known by
+64-bit hashes. The network predicts the class of the token in the middle (a
+class of its own for each of the most frequent tokens, classes by ending for
+the others); within a class a token has its share of the counts over the whole
+corpus.
+
+Counts come from all documents, one for each word, in a Spark table that grows
+with the corpus; words are joined to it by key, but for the most frequent ones,
+which the tasks have at hand. The network is trained in numpy by the tasks,
 each on its own documents, and every document is used once: the documents are
 dealt into rounds, and the networks of a round are averaged by their numbers
 of tokens and passed on to the next.
@@ -27,10 +30,17 @@ from pyspark.sql import functions as F
 from auric.llm.arrowtext import SpanHasher, flat, lower_az, shared, slices, word_spans
 from auric.session import stage
 
-#: Token numbers: 13 bits of the word's hash and 5 of its ending's.
-ENDINGS, TOKENS = 32, 1 << 18
-OWN = 64
+#: Token numbers: 59 bits of the word's hash and 5 of its ending's.
+ENDINGS = 32
+#: Words with a class of their own: at least OWN, and one for every WORDS_A_CLASS words of the corpus up to MOST_OWN, which
+#: bounds the network's weights and nothing else.
+OWN, MOST_OWN, WORDS_A_CLASS = 64, 256, 4096
+#: Classes are numbered: OWN words, the endings, then the edge of a text (CLASSES), then the further words.
 CLASSES, SIDE, HIDDEN = OWN + ENDINGS, 2, 16
+#: The most frequent words, whose counts the tasks have at hand; the others' are joined.
+COMMON = 1 << 16
+#: Tokens that a task counts before it hands the counts on.
+COUNT_TOKENS = 1 << 21
 ROUNDS, BATCH, RATE, SEED = 2, 4096, 0.1, 5
 #: Networks averaged by one task at a time.
 FAN = 32
@@ -49,18 +59,87 @@ def tokens(data: np.ndarray, offsets: np.ndarray, hasher: SpanHasher) -> tuple[n
     sums = hasher.sums(data)
     word = hasher.spans(sums, start, end)
     ending = hasher.spans(sums, np.maximum(start, end - 2), end)
-    return ((word >> np.uint64(51)) << np.uint64(5) | ending >> np.uint64(59)).astype(np.int64), first
+    return ((word >> np.uint64(5)) << np.uint64(5) | ending >> np.uint64(59)).view(np.int64), first
 
 
 class Counts:
-    """Corpus counts by token, classes, and the share of a token in its class."""
-
-    def __init__(self, count: np.ndarray):
-        top = np.argsort(-count, kind="stable")[:OWN]
-        self.klass = (OWN + np.arange(TOKENS) % ENDINGS).astype(np.int16)
-        self.klass[top] = np.arange(OWN)
-        mass = np.bincount(self.klass, count + 1.0, CLASSES)
-        self.share = np.log((count + 1.0) / mass[self.klass]).astype(np.float32)
+    """Corpus counts by word. ``table`` (token, n) holds all words and stays in Spark; ``token`` and ``n`` are the common
+    ones in order of token, ``own`` those with a class of their own and ``own_class`` their classes, ``mass`` the count of each
+    ending's other words and one more, which is the count of any word that the corpus does not have."""
+
+    def __init__(self, table: DataFrame, token: np.ndarray, n: np.ndarray, mass: np.ndarray, words: int):
+        self.table = table
+        number = min(max(OWN, words // WORDS_A_CLASS), MOST_OWN)
+        top = np.lexsort((token, -n))[:number]
+        klass = np.concatenate([np.arange(OWN), np.arange(CLASSES + 1, CLASSES + 1 + MOST_OWN)])[: len(top)]
+        by = np.argsort(token[top])
+        self.own, self.own_class = token[top][by], klass[by].astype(np.int16)
+        self.classes = CLASSES + 1 + max(0, len(top) - OWN)
+        by = np.argsort(token)
+        self.token, self.n = token[by], n[by]
+        self.mass = mass + 1.0 - np.bincount(token[top] & (ENDINGS - 1), n[top], ENDINGS)
+
+    def __getstate__(self):
+        return self.__dict__ | {"table": None}  # tasks have no Spark session
+
+    def class_of(self, token: np.ndarray) -> np.ndarray:
+        at, hit = found(self.own, token)
+        out = (OWN + (token & (ENDINGS - 1))).astype(np.int16)
+        out[hit] = self.own_class[at[hit]]
+        return out
+
+    def common_share(self, token: np.ndarray, klass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(logarithm of the share in the class, rare) for each token; of a rare one, the share of a count of 1."""
+        at, hit = found(self.token, token)
+        several = (klass >= OWN) & (klass < CLASSES)
+        share = np.zeros(len(token))
+        share[several] = -np.log(self.mass)[klass[several] - OWN]
+        some = several & hit
+        share[some] += np.log(self.n[at[some]])
+        return share, several & ~hit
+
+    @property
+    def klass(self) -> Looked:
+        return Looked(self, "klass")
+
+    @property
+    def share(self) -> Looked:
+        return Looked(self, "share")
+
+
+class Looked:
+    """Classes or shares for the driver's eyes: by token, or as an array of those of all words and the edge."""
+
+    def __init__(self, counts: Counts, name: str):
+        self.counts, self.name = counts, name
+
+    def of(self, token: np.ndarray, rows) -> np.ndarray:
+        klass = self.counts.class_of(token)
+        if self.name == "klass":
+            return klass
+        share, rare = self.counts.common_share(token, klass)
+        held = dict(zip(rows["token"].to_pylist(), rows["n"].to_pylist()))
+        share[rare] += np.log([held.get(int(t), 1) for t in token[rare]])
+        return share
+
+    def __getitem__(self, token: np.ndarray) -> np.ndarray:
+        wanted = [int(t) for t in np.unique(token)]
+        out = self.of(np.atleast_1d(token), self.counts.table.where(F.col("token").isin(wanted)).toArrow())
+        return out if np.ndim(token) else out[0]
+
+    def __array__(self, dtype=None, copy=None) -> np.ndarray:
+        rows = self.counts.table.orderBy("token").toArrow()
+        edge = np.int16(CLASSES) if self.name == "klass" else 0.0
+        return np.append(self.of(rows["token"].to_numpy(), rows), edge).astype(dtype or (np.int64 if self.name == "klass" else np.float64))
+
+    def astype(self, dtype) -> np.ndarray:
+        return np.asarray(self).astype(dtype)
+
+
+def found(known: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place among the known, whether it is there) of each token."""
+    at = np.minimum(np.searchsorted(known, token), max(len(known) - 1, 0))
+    return at, known[at] == token if len(known) else np.zeros(len(token), bool)
 
 
 def contexts(klass: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -78,11 +157,12 @@ def contexts(klass: np.ndarray, first: np.ndarray) -> np.ndarray:
 class Network:
     """Embeddings of the neighbours' classes by place, a hidden layer, and a softmax over classes."""
 
-    def __init__(self, flat_: np.ndarray | None = None):
-        shapes = [(2 * SIDE, CLASSES + 1, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (CLASSES,)]
+    def __init__(self, classes: int, flat_: np.ndarray | None = None):
+        shapes = [(2 * SIDE, classes, HIDDEN), (HIDDEN,), (HIDDEN, classes), (classes,)]
         ends = np.cumsum([0, *[math.prod(s) for s in shapes]])
         if flat_ is None:
             flat_ = np.random.default_rng(SEED).normal(0, 0.1, ends[-1]).astype(np.float32)
+            flat_[ends[-2] + CLASSES] = -30  # no token is of the edge's class
         self.flat = flat_.copy()
         self.embed, self.shift, self.out, self.base = (self.flat[a:b].reshape(s) for a, b, s in zip(ends[:-1], ends[1:], shapes))
         self.ends, self.shapes = ends, shapes
@@ -113,28 +193,45 @@ class Network:
         back = (d @ self.out.T) * (1 - h * h)
         shift += back.sum(0)
         for k in range(2 * SIDE):
-            chosen = np.zeros((n, CLASSES + 1), np.float32)
-            chosen[np.arange(n), near[:, k]] = 1
-            embed[k] += chosen.T @ back
+            place = near[:, k, None].astype(np.int64) * HIDDEN + np.arange(HIDDEN)
+            embed[k] += np.bincount(place.ravel(), back.ravel(), embed[k].size).reshape(embed[k].shape)
         power += grad * grad
         self.flat -= RATE * grad / np.sqrt(power)
 
 
-def count_tokens(texts: DataFrame) -> np.ndarray:
-    """Corpus counts by token number, from all texts; at most TOKENS sums reach the driver."""
+def count_tokens(texts: DataFrame) -> Counts:
+    """The words of all texts and their counts; at most COMMON of them reach the driver."""
+
+    def counted(kept: list[np.ndarray]) -> pa.RecordBatch:
+        token, n = np.unique(np.concatenate(kept), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(token), pa.array(n)], names=["token", "n"])
 
     def scan(batches):
-        hasher, count = SpanHasher(), np.zeros(TOKENS, np.int64)
+        hasher, kept = SpanHasher(), []
         for whole in batches:
             for batch in slices(whole, "txt"):
-                count += np.bincount(tokens(*flat(batch.column("txt")), hasher)[0], minlength=TOKENS)
-        some = np.flatnonzero(count)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(count[some])], names=["token", "n"])
-
-    found = texts.mapInArrow(scan, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(TOKENS)
-    out[found["token"].to_numpy()] = found["n"].to_numpy()
-    return out
+                kept.append(tokens(*flat(batch.column("txt")), hasher)[0])
+                if sum(map(len, kept)) > COUNT_TOKENS:
+                    yield counted(kept)
+                    kept = []
+        if kept:
+            yield counted(kept)
+
+    table = stage(texts.mapInArrow(scan, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")), "words")
+    # words by steps of their count, to tell where the common ones begin
+    step = F.floor(F.log2("n") * 16)
+    steps = sorted(((r["step"], r["words"]) for r in table.groupBy(step.alias("step")).agg(F.count("*").alias("words")).collect()), reverse=True)
+    room, least = COMMON, None
+    for s, words in steps:
+        room -= words
+        if room < 0:
+            break
+        least = s
+    common = table.where(step >= least if least is not None else F.lit(False)).toArrow()
+    mass = np.zeros(ENDINGS)
+    for r in table.groupBy(F.expr(f"token & {ENDINGS - 1}").alias("e")).agg(F.sum("n").alias("n")).collect():
+        mass[r["e"]] = r["n"]
+    return Counts(table, common["token"].to_numpy(), common["n"].to_numpy(), mass, sum(words for _, words in steps))
 
 
 def averaged(nets: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
@@ -165,20 +262,21 @@ def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tuple[
     """Counts and network from all of ``docs``."""
     spark = docs.sparkSession
     texts = docs.select(F.col(text_col).alias("txt"))
-    counts = Counts(count_tokens(texts))
-    known = shared(spark, counts)
-    net, power = Network(), np.full(len(Network().flat), 1e-6, np.float32)
+    counts = count_tokens(texts)
+    known, classes = shared(spark, counts), counts.classes
+    net = Network(classes)
+    power = np.full(len(net.flat), 1e-6, np.float32)
     for r in range(rounds):
         sent = shared(spark, (net.flat, power))
 
         def train(batches, sent=sent):
             hasher, table = SpanHasher(), known()
             start, squares = sent()
-            own, squares, seen = Network(start), squares.copy(), 0
+            own, squares, seen = Network(classes, start), squares.copy(), 0
             for whole in batches:
                 for batch in slices(whole, "txt"):
                     token, first = tokens(*flat(batch.column("txt")), hasher)
-                    target = table.klass[token]
+                    target = table.class_of(token)
                     near = contexts(target, first)
                     for k in range(0, len(token), BATCH):
                         own.train(near[k: k + BATCH], target[k: k + BATCH], squares)
@@ -191,7 +289,7 @@ def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tuple[
         turn = texts.where(F.pmod(F.coalesce(F.xxhash64("txt"), F.lit(0)), F.lit(rounds)) == r)
         got = averaged(stage(turn.mapInArrow(train, "part long, weight double, net binary, power binary"), "networks"))
         if got:
-            net, power = Network(got[0]), got[1]
+            net, power = Network(classes, got[0]), got[1]
     return counts, net
 
 
@@ -202,7 +300,10 @@ def score(docs: DataFrame, model: tuple[Counts, Network], text_col: str = "text"
     the two tokens on either side. A text that is null, empty or without words has no tokens, a sum of 0 and a null
     mean. Each row is answered on its own: null or repeated ids keep their rows; an empty table gives none; other
     columns do not matter. Scores vary in their last digits with the dealing of the rows to tasks, in whose order the
-    network is trained."""
+    network is trained.
+
+    A pass over the texts gives each row its sum without the counts of rare words, and these words; their counts are
+    then joined by word and added up by row."""
     keep = keep or ["doc_id"]
     names = [f"c{k}" for k in range(len(keep))]
     known = shared(docs.sparkSession, model)
@@ -212,21 +313,30 @@ def score(docs: DataFrame, model: tuple[Counts, Network], text_col: str = "text"
         for whole in batches:
             for batch in slices(whole, "txt"):
                 token, first = tokens(*flat(batch.column("txt")), hasher)
-                target = table.klass[token]
+                target = table.class_of(token)
                 near = contexts(target, first)
+                share, rare = table.common_share(token, target)
                 each = np.zeros(len(token) + 1)
                 for k in range(0, len(token), BATCH):
                     part = target[k: k + BATCH]
                     each[k + 1: k + 1 + len(part)] = net.logs(net.hidden(near[k: k + BATCH]))[np.arange(len(part)), part]
-                each[1:] += table.share[token]
+                each[1:] += share
                 np.cumsum(each, out=each)
                 n = np.diff(first)
                 total = np.where(n > 0, each[first[1:]] - each[first[:-1]], 0.0)
+                ends = np.concatenate([[0], np.cumsum(rare)])[first]
+                words = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(token[rare]))
                 yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(c) for c in names], pa.array(n, pa.int64()), pa.array(total),
-                     pa.array(total / np.maximum(n, 1), mask=n == 0)], names=[*names, "n_tokens", "log_likelihood", "mean_log_likelihood"])
+                    [*[batch.column(c) for c in names], batch.column("rid"), pa.array(n, pa.int64()), pa.array(total), words],
+                    names=[*names, "rid", "n_tokens", "total", "words"])
 
-    cur = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names)], F.col(text_col).alias("txt"))
+    cur = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names)], F.monotonically_increasing_id().alias("rid"), F.col(text_col).alias("txt"))
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in cur.schema.fields[:-1])
-    out = cur.mapInArrow(scan, f"{kinds}n_tokens long, log_likelihood double, mean_log_likelihood double")
-    return out.select(*[F.col(n).alias(c) for n, c in zip(names, keep)], "n_tokens", "log_likelihood", "mean_log_likelihood")
+    rows = stage(cur.mapInArrow(scan, f"{kinds}n_tokens long, total double, words array<long>"), "rows")
+    # a word that stands once in the corpus, or not at all, adds nothing
+    several = model[0].table.where("n > 1")
+    more = rows.select("rid", F.explode("words").alias("token")).join(several, "token").groupBy("rid").agg(F.sum(F.log("n")).alias("more"))
+    total = F.col("total") + F.coalesce("more", F.lit(0.0))
+    return rows.drop("words").join(more, "rid", "left").select(
+        *[F.col(n).alias(c) for n, c in zip(names, keep)], "n_tokens", total.alias("log_likelihood"),
+        F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_log_likelihood"))

@@ -207,3 +207,36 @@ def test_language_model(spark):
     after = lm_score.score(spark.createDataFrame(shuffled, "doc_id long, text string"), model).agg({"mean_log_likelihood": "avg"}).first()[0]
     assert before > after
     assert lm_score.score(documents(spark).limit(0), lm_score.fit(documents(spark).limit(0))).count() == 0
+
+
+def test_language_model_counts_whole_words(spark, monkeypatch):
+    """Each word keeps its own count, however many there are; rare words' counts come by the join."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(lm_score, "COMMON", 200)
+    rows = [(k, " ".join(f"w{j}x" for j in range(k, 300_000, 300) for _ in range(2 if j % 7 == 0 else 1)) + " the" * 50) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counts, net = model = lm_score.fit(docs)
+    assert counts.table.count() == 300_001 and len(counts.token) <= 200
+    assert counts.classes > lm_score.CLASSES + 1 - lm_score.OWN and lm_score.fit(docs.limit(1))[0].table.count() == 1001
+    token, first = lm_score.tokens(*flat(pa.array(["the w7x w8x never-seen"])), SpanHasher())
+    klass, share = counts.klass[token], counts.share[token]
+    assert klass[0] < lm_score.OWN and share[0] == 0
+    assert np.isclose(share[1] - share[2], np.log(2) if klass[1] == klass[2] else share[1] - share[2])
+    for k, n in ((1, 2), (2, 1), (3, 1)):
+        assert np.isclose(share[k], np.log(n / counts.mass[klass[k] - lm_score.OWN]))
+    got = lm_score.score(docs.where(F.col("doc_id") == 7), model).first()
+    text = rows[7][1]
+    token, first = lm_score.tokens(*flat(pa.array([text])), SpanHasher())
+    klass = counts.klass[token]
+    logs = net.logs(net.hidden(lm_score.contexts(klass, first)))[np.arange(len(token)), klass]
+    assert abs(got.log_likelihood - float((logs + counts.share[token]).sum())) < 0.1
+    assert got.n_tokens == len(token)
+
+
+def test_own_classes_grow_with_the_vocabulary(spark):
+    token, n = np.arange(2000) * 32, np.arange(2000, 0, -1)
+    few, more, most = (lm_score.Counts(None, token, n, np.full(32, 1e9), v) for v in (1000, 500_000, 10 ** 9))
+    assert [len(c.own) for c in (few, more, most)] == [lm_score.OWN, 122, lm_score.MOST_OWN]
+    assert most.classes == lm_score.CLASSES + 1 + lm_score.MOST_OWN - lm_score.OWN
+    assert lm_score.CLASSES not in set(most.class_of(token).tolist())
