@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auric.llm import bpe, decontaminate, language, lm_score, near_dup, pii, sharding, token_count, topk, toxicity
+from auric.llm import bpe, decontaminate, language, lm_score, near_dup, pii, quality, resample, sharding, token_count, topk, toxicity
 
 
 def tokenizer(name: str) -> str:
@@ -71,6 +71,14 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_pii(docs, QUERY_KEY).withColumn("n_entities", F.size("pii_kinds"))
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_near_dups": op1_near_dups,
     "op2_decontaminate": op2_decontaminate,
@@ -82,10 +90,13 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_language": op9_language,
     "op10_pii": op10_pii,
+    "op12_quality": op12_quality,
+    "op13_resample": op13_resample,
 }
 
 ORACLE_SQL = {
     "op1_near_dups": near_dup.SQL,
     "op2_decontaminate": decontaminate.SQL,
     "op6_topk": topk.SQL,
+    "op13_resample": resample.SQL,
 }
