@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auric.llm import bpe, decontaminate, language, lm_score, near_dup, pii, quality, resample, sharding, token_count, topk, toxicity
+from auric.llm import bpe, decontaminate, language, lm_score, near_dup, phrases, pii, quality, resample, sharding, token_count, topk, toxicity
 
 
 def tokenizer(name: str) -> str:
@@ -71,6 +71,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_pii(docs, QUERY_KEY).withColumn("n_entities", F.size("pii_kinds"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
 def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -90,6 +94,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_language": op9_language,
     "op10_pii": op10_pii,
+    "op11_phrases": op11_phrases,
     "op12_quality": op12_quality,
     "op13_resample": op13_resample,
 }
@@ -98,5 +103,6 @@ ORACLE_SQL = {
     "op1_near_dups": near_dup.SQL,
     "op2_decontaminate": decontaminate.SQL,
     "op6_topk": topk.SQL,
+    "op11_phrases": phrases.SQL,
     "op13_resample": resample.SQL,
 }
