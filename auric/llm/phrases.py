@@ -2,8 +2,9 @@
 
 Phrases grow from prefixes whose counts bound every score below them: a
 phrase's score is at most a/f for the count a of its first (last) two words
-and the count f of its first (last) word. All words and pairs are counted
-first. Then a frontier of pairs is expanded, best bounds first: those whose
+and the count f of its first (last) word, and its count at most that of any
+part. All words are counted first, then the pairs of words that are frequent
+enough. Then a frontier of pairs is expanded, best bounds first: those whose
 bound reaches a threshold key (score, count), and those whose own fate hangs
 on a longer phrase. A language is settled when as many phrases as asked for
 survive at or above its threshold, as nothing unexpanded can reach that;
@@ -54,7 +55,7 @@ def word_blocks(batch):
     start, end, first = word_spans(data, offsets, word)
     words = np.diff(first)
     text = np.repeat(np.arange(len(words)), words)
-    piece = np.concatenate([[0], np.cumsum(ends[data])])[start]
+    piece = np.concatenate([[0], np.cumsum(ends[data], dtype=np.int32)])[start]
     code = np.asarray(batch.column("code"))[text]
     for a in range(0, len(start), BLOCK_WORDS):
         b, c = min(a + BLOCK_WORDS, len(start)), min(a + BLOCK_WORDS + 2, len(start))
@@ -79,41 +80,61 @@ def coded(batch):
     return lang.dictionary, batch.append_column("code", pa.array(np.asarray(lang.indices)))
 
 
-def words_and_pairs(docs: DataFrame) -> DataFrame:
-    """(lang, phrase, n) of words and pairs, added up over all documents; the empty phrase has the number of words."""
+def words(docs: DataFrame) -> DataFrame:
+    """(lang, phrase, n) of all words; the empty phrase has the number of words of the language."""
 
     def scan(batches):
         for whole in batches:
             for part in slices(whole, "txt", SLICE):
                 names, batch = coded(part)
                 total = np.zeros(len(names), np.int64)
-                for buf, s, e, code, own, follows in word_blocks(batch):
+                for buf, s, e, code, own, _ in word_blocks(batch):
                     total += np.bincount(code[:own], minlength=len(names))
-                    pair = np.flatnonzero(follows[:own])
-                    yield counted(names, buf, np.concatenate([s[:own], s[pair]]), np.concatenate([(e - s)[:own], e[pair + 1] - s[pair]]), np.concatenate([code[:own], code[pair]]))
+                    yield counted(names, buf, s[:own], (e - s)[:own], code[:own])
                 yield pa.RecordBatch.from_arrays([names, pa.array([""] * len(names), pa.string()), pa.array(total)], names=["lang", "phrase", "n"])
 
     return docs.mapInArrow(scan, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
+def holds(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Whether the map has the bits of the hashes."""
+    at = key & np.uint64(64 * len(bits) - 1)
+    return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) > 0
+
+
+def frequent_pairs(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """(lang, phrase, n) of the pairs of words that are both in the map ``frequent``."""
+    known = shared(docs.sparkSession, frequent)
+
+    def scan(batches):
+        frequent = known()
+        for whole in batches:
+            for part in slices(whole, "txt", SLICE):
+                names, batch = coded(part)
+                for buf, s, e, code, own, follows in word_blocks(batch):
+                    often = holds(frequent, xxhash64(buf, s, e - s, SEED))
+                    pair = np.flatnonzero(follows[:own] & often[:own] & np.append(often[1:], False)[:own])
+                    yield counted(names, buf, s[pair], e[np.minimum(pair + 1, len(e) - 1)] - s[pair], code[pair])
+
+    return docs.mapInArrow(scan, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+
+
 def triples(docs: DataFrame, maps: dict[str, np.ndarray]) -> DataFrame:
     """(lang, phrase, n) of the phrases of three words that the frontier maps ask for, each with all its occurrences."""
     known = shared(docs.sparkSession, maps)
 
     def scan(batches):
         maps = known()
-        mask = np.uint64(64 * len(maps["any"]) - 1)
         for whole in batches:
             for part in slices(whole, "txt", SLICE):
                 names, batch = coded(part)
                 for buf, s, e, code, own, follows in word_blocks(batch):
                     pair = np.flatnonzero(follows)
-                    h = xxhash64(buf, s[pair], e[np.minimum(pair + 1, len(e) - 1)] - s[pair], SEED) & mask
-                    at, bit = (h >> np.uint64(6)).astype(np.int64), h & np.uint64(63)
+                    key = xxhash64(buf, s[pair], e[np.minimum(pair + 1, len(e) - 1)] - s[pair], SEED)
                     is_in = {}
-                    for kind, words in maps.items():
+                    for kind, bits in maps.items():
                         is_in[kind] = np.zeros(len(s) + 1, bool)
-                        is_in[kind][pair] = (words[at] >> bit) & np.uint64(1) > 0
+                        is_in[kind][pair] = holds(bits, key)
                     first, then = slice(0, own), slice(1, own + 1)
                     want = is_in["head"][first] & is_in["tail"][then] | is_in["check"][first] & is_in["any"][then] | is_in["any"][first] & is_in["check"][then]
                     k = np.flatnonzero(want)
@@ -128,12 +149,11 @@ def score(a, l, r):
     return F.call_function("div", F.lit(SCALE).cast("decimal(7,0)") * (wide(a) * wide(a)), wide(l) * wide(r))
 
 
-def scored_pairs(grams: DataFrame) -> DataFrame:
-    """Pairs that occur often enough, with the counts of their words, score, and the bounds of phrases that begin
-    (``head``) or end (``tail``) with them."""
-    words = grams.where("phrase <> '' and instr(phrase, ' ') = 0")
+def scored_pairs(words: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Pairs with the counts of their words, score, and the bounds of phrases that begin (``head``) or end (``tail``)
+    with them."""
     word = lambda name, n: words.select("lang", F.col("phrase").alias(name), F.col("n").alias(n))
-    pairs = grams.where(F.instr("phrase", " ") > 0).select("lang", "phrase", F.substring_index("phrase", " ", 1).alias("w1"), F.substring_index("phrase", " ", -1).alias("w2"), F.col("n").alias("a"))
+    pairs = pairs.select("lang", "phrase", F.substring_index("phrase", " ", 1).alias("w1"), F.substring_index("phrase", " ", -1).alias("w2"), F.col("n").alias("a"))
     pairs = pairs.join(word("w1", "l"), ["lang", "w1"]).join(word("w2", "r"), ["lang", "w2"])
     return pairs.select("lang", "phrase", "a", "l", "r", score(F.col("a"), F.col("l"), F.col("r")).alias("score"),
                         F.expr(f"a * {SCALE} div l").alias("head"), F.expr(f"a * {SCALE} div r").alias("tail"))
@@ -161,12 +181,10 @@ def reaches(by: str):
     return F.struct(F.col(by), F.col("a")) >= F.struct(F.col("t_score"), F.col("t_a"))
 
 
-def frontier(pairs: DataFrame) -> dict[str, np.ndarray]:
-    """Bit maps of the hashes of pairs: that may begin (head) or end (tail) a phrase at or above the threshold, that
-    are themselves at or above it (check), and all (any). At most 2 ** MAP_BITS bits each."""
-    kinds = {"any": F.lit(True), "head": reaches("head"), "tail": reaches("tail"), "check": reaches("score")}
+def maps_of(phrases: DataFrame, kinds: dict) -> dict[str, np.ndarray]:
+    """For each kind a bit map of the hashes of the phrases that fulfil its condition: at most 2 ** MAP_BITS bits."""
     h = F.xxhash64("phrase").bitwiseAND(F.lit((1 << MAP_BITS) - 1))
-    rows = pairs.select(h.alias("h"), F.explode(F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in enumerate(kinds.values())]))).alias("kind"))
+    rows = phrases.select(h.alias("h"), F.explode(F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in enumerate(kinds.values())]))).alias("kind"))
     rows = rows.groupBy("kind", F.shiftright("h", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("bits"))
     found = rows.toArrow()
     kind, word, bits = (found.column(c).to_numpy() for c in ("kind", "word", "bits"))
@@ -177,6 +195,12 @@ def frontier(pairs: DataFrame) -> dict[str, np.ndarray]:
     return maps
 
 
+def frontier(pairs: DataFrame) -> dict[str, np.ndarray]:
+    """Maps of pairs: that may begin (head) or end (tail) a phrase at or above the threshold, that are themselves at or
+    above it (check), and all (any)."""
+    return maps_of(pairs, {"any": F.lit(True), "head": reaches("head"), "tail": reaches("tail"), "check": reaches("score")})
+
+
 def scored_triples(found: DataFrame, pairs: DataFrame) -> DataFrame:
     """Phrases of three words with their lowest-scoring cut, of equal ones the first."""
     w = F.split("phrase", " ")
@@ -204,11 +228,12 @@ def mine(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", top: i
 
     A null language is ``und``; null and empty texts have no words. Repeated rows count as often as they stand there,
     ties are told apart by the phrase's bytes, an empty table or a language without phrases gives no rows, and other
-    columns do not matter. Texts are searched twice, and again for the languages that are not settled then."""
+    columns do not matter. Texts are read three times, and again for the languages that are not settled then."""
     texts = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.col(text_col).alias("txt"))
-    grams = stage(words_and_pairs(texts).where((F.col("n") >= least) | (F.col("phrase") == "")), "grams")
-    pairs = stage(scored_pairs(grams), "pairs")
-    totals = grams.where("phrase = ''").select("lang", "n")
+    grams = stage(words(texts).where((F.col("n") >= least) | (F.col("phrase") == "")), "words")
+    totals, often = grams.where("phrase = ''").select("lang", "n"), grams.where("phrase <> ''")
+    found = frequent_pairs(texts, maps_of(often, {"word": F.lit(True)})["word"]).where(F.col("n") >= least)
+    pairs = stage(scored_pairs(often, stage(found, "counted")), "pairs")
     open_langs, done = stage(pairs.select("lang").distinct(), "langs"), None
     for widen in (*WIDEN, None):
         if open_langs.isEmpty():
