@@ -2,7 +2,10 @@
 then survivorship. Each returns every surviving record typed, with
 ``regra`` (NULL = accepted), ``severidade`` and ``mensagem``.
 
-Rejected rows keep their raw record (``registro``) for the reject store.
+Rejected rows keep their raw record (``registro``) for the reject store, and
+every row the hash of the record as delivered (``hash_origem``), which a
+correction laid over the record does not change. With ``keep_superseded``
+the versions that lost to another file stay, flagged ``superado``.
 Referential rules look at the *accepted* parents of the same run, through
 left joins on the parent key.
 """
@@ -22,15 +25,27 @@ from auric.operators import rules as R
 from auric.operators.rules import rule
 from auric.session import stage
 
-AUDIT = ["_origem", "_linha"]
+AUDIT = ["_origem", "_linha", "hash_origem"]
+
+
+def content_hash(business: list[str]) -> Column:
+    """Hash of a record's fields."""
+    return F.md5(F.to_json(F.struct(*[F.col(c) for c in business]), {"ignoreNullFields": "false"}))
 
 
 def _prepare(raw: DataFrame, business: list[str]) -> DataFrame:
     """Priority, content hash and the raw record as JSON."""
     rec = F.struct(*[F.col(c) for c in business])
-    return raw.withColumn("prioridade", domain.batch_priority(F.col("_origem"))) \
-        .withColumn("_hash", F.md5(F.to_json(rec, {"ignoreNullFields": "false"}))) \
+    out = raw.withColumn("prioridade", domain.batch_priority(F.col("_origem"))) \
+        .withColumn("_hash", content_hash(business)) \
         .withColumn("registro", F.to_json(rec))
+    return out if "hash_origem" in raw.columns else out.withColumn("hash_origem", F.col("_hash"))
+
+
+def _superseded(df: DataFrame, keep: bool) -> tuple[DataFrame, list[Column]]:
+    """The rows to go on with, and the flag column where superseded rows stay."""
+    flag = F.coalesce(F.col("superado"), F.lit(False))
+    return (df, [flag.alias("superado")]) if keep else (df.where(~flag), [])
 
 
 def _finish(df: DataFrame, result: Column, fonte: str) -> DataFrame:
@@ -45,7 +60,7 @@ def _present_but_invalid(raw: str, typed: Column) -> Column:
 
 
 # ---------------------------------------------------------------- catalogue
-def catalog(raw: DataFrame) -> DataFrame:
+def catalog(raw: DataFrame, keep_superseded: bool = False) -> DataFrame:
     from auric.plans.raw import CATALOG_COLS, CATALOG_REQUIRED
 
     df = _prepare(raw, list(CATALOG_COLS)).select(
@@ -87,14 +102,15 @@ def catalog(raw: DataFrame) -> DataFrame:
                                            F.concat(F.lit("mesmo conteudo_id da linha "),
                                                     F.col("vencedor._linha").cast("string")).alias("mensagem"))),
     )
-    out = _finish(df.where(~F.coalesce(F.col("superado"), F.lit(False))), result, "catalogo")
+    df, flag = _superseded(df, keep_superseded)
+    out = _finish(df, result, "catalogo")
     return out.select(
         F.col("v_id").alias("conteudo_id"), F.col("v_titulo").alias("titulo"), F.col("v_tipo").alias("tipo"),
         F.col("v_categoria_canonica").alias("categoria"), F.col("v_nivel").alias("nivel"),
         F.col("v_carga").alias("carga_horaria_min"), F.col("v_data").alias("data_publicacao"),
         clean_text("descricao").alias("descricao"), clean_text("autor").alias("autor"),
         *AUDIT, "_hash", "fonte", F.coalesce(F.col("conteudo_id"), F.concat(F.lit("linha "), F.col("_linha")))
-        .alias("chave_registro"), "regra", "severidade", "mensagem", "registro",
+        .alias("chave_registro"), "regra", "severidade", "mensagem", "registro", *flag,
     )
 
 
@@ -102,7 +118,7 @@ def catalog(raw: DataFrame) -> DataFrame:
 CPF_LAYOUT = r"^([0-9]{3}\.[0-9]{3}\.[0-9]{3}-[0-9]{2}|[0-9]{11})$"
 
 
-def users(raw: DataFrame, run_date: dt.date, key: str, salt: str) -> DataFrame:
+def users(raw: DataFrame, run_date: dt.date, key: str, salt: str, keep_superseded: bool = False) -> DataFrame:
     from auric.plans.raw import USER_COLS, USER_REQUIRED
 
     today = F.lit(run_date)
@@ -148,7 +164,8 @@ def users(raw: DataFrame, run_date: dt.date, key: str, salt: str) -> DataFrame:
                                            F.concat(F.lit("mesmo usuario_id da linha "),
                                                     F.col("vencedor._linha").cast("string")).alias("mensagem"))),
     )
-    out = _finish(df.where(~F.coalesce(F.col("superado"), F.lit(False))), result, "usuarios")
+    df, flag = _superseded(df, keep_superseded)
+    out = _finish(df, result, "usuarios")
     return out.select(
         F.col("v_id").alias("usuario_id"),
         privacy.pseudonym(F.col("v_id"), key).alias("usuario_pseudo"),
@@ -166,6 +183,7 @@ def users(raw: DataFrame, run_date: dt.date, key: str, salt: str) -> DataFrame:
         F.when(F.col("regra").isNotNull(), F.to_json(F.struct(
             "usuario_id", privacy.mask_name(clean_text("nome")).alias("nome"), privacy.mask_email(clean_text("email")).alias("email"),
             "cidade", "uf", "data_cadastro", "atualizado_em"))).alias("registro"),
+        *flag,
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auric.functions.domain import CONSUMPTION_TYPES
+from auric.operators.asof import next_event
 from auric.operators.joins import join_dim
 
 
@@ -36,20 +37,11 @@ def fact_interaction(interacao: DataFrame, person_of: DataFrame) -> DataFrame:
 
 
 def first_consumption_after(keys: DataFrame, fact: DataFrame, person: str = "usuario_pseudo") -> DataFrame:
-    """As-of-forward lookup: for each (person, content, at) the earliest
-    consumption event strictly after ``at`` (NULL when none).
-
-    Equi-join on (person, content) plus the inequality, then a partial
-    ``min`` per key; events are pruned to consumption types before the join."""
-    ev = fact.where(F.col("tipo_interacao").isin(CONSUMPTION_TYPES)).select(
-        F.col(person).alias("_p"), F.col("conteudo_id").alias("_c"), F.col("data_hora").alias("_t")
-    )
-    hits = (
-        keys.join(ev, (keys[person] == ev["_p"]) & (keys["conteudo_id"] == ev["_c"]) & (ev["_t"] > keys["gerado_em"]))
-        .groupBy(person, "conteudo_id", "gerado_em")
-        .agg(F.min("_t").alias("primeira"))
-    )
-    return keys.join(hits, [person, "conteudo_id", "gerado_em"], "left")
+    """As-of-forward lookup: ``keys`` with ``primeira``, the earliest consumption event of the same person and content
+    strictly after ``gerado_em`` (NULL when none). Events are pruned to consumption types; recommendations and events
+    of a key are ordered, never paired."""
+    ev = fact.where(F.col("tipo_interacao").isin(CONSUMPTION_TYPES)).select(person, "conteudo_id", "data_hora")
+    return next_event(keys, ev, [person, "conteudo_id"], "gerado_em", "data_hora", "primeira")
 
 
 def fact_recommendation(recs: DataFrame, person_of: DataFrame, fato_interacao: DataFrame) -> DataFrame:

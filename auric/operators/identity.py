@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from auric.functions import privacy
 from auric.session import ensure_checkpoint_dir
 
 
@@ -79,3 +80,36 @@ def resolve(spark: SparkSession, df: DataFrame, id_col: str, key_cols: dict[str,
     return ids.join(comps, "node", "left").select(
         F.col("node").alias(id_col), F.coalesce("component", "node").alias("component")
     )
+
+
+def correspondence(users: DataFrame, components: DataFrame) -> DataFrame:
+    """Account → master with the match reason (own, direct CPF or e-mail evidence with the master, else transitive).
+    ``components`` is (usuario_id, usuario_mestre_id)."""
+    u = users.select("usuario_id", "cpf_hash", "email_hash")
+    m = u.select(F.col("usuario_id").alias("usuario_mestre_id"), F.col("cpf_hash").alias("m_cpf"), F.col("email_hash").alias("m_email"))
+    reason = (
+        F.when(F.col("usuario_id") == F.col("usuario_mestre_id"), "proprio")
+        .when(F.col("cpf_hash") == F.col("m_cpf"), "cpf_hash")
+        .when(F.col("email_hash") == F.col("m_email"), "email_hash")
+        .otherwise("transitivo")
+    )
+    return components.join(u, "usuario_id").join(m, "usuario_mestre_id").select("usuario_id", "usuario_mestre_id", reason.alias("regra"))
+
+
+def master(users: DataFrame, components: DataFrame, key: str) -> DataFrame:
+    """One row per person: attributes of the most recently updated account (ties: lowest id), earliest registration,
+    member count. The survivor is a partial-aggregating ``max_by``, not a window over a possibly huge group."""
+    u = users.join(components, "usuario_id")
+    order = F.struct(F.col("atualizado_em").isNotNull(), F.col("atualizado_em"), -F.col("usuario_id"))
+    attrs = F.struct("nome_mascarado", "email_mascarado", "faixa_etaria", "cidade", "uf", "atualizado_em")
+    g = u.groupBy("usuario_mestre_id").agg(
+        F.max_by(attrs, order).alias("s"),
+        F.min("data_cadastro").alias("data_cadastro"),
+        F.count(F.lit(1)).cast("int").alias("registros_origem"),
+    )
+    return g.select(
+        "usuario_mestre_id",
+        privacy.pseudonym(F.col("usuario_mestre_id"), key).alias("usuario_pseudo"),
+        "s.nome_mascarado", "s.email_mascarado", "s.faixa_etaria", "s.cidade", "s.uf",
+        "data_cadastro", "s.atualizado_em", "registros_origem",
+    )

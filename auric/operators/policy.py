@@ -15,7 +15,9 @@ GOLD = frozenset(
     "conteudo_id titulo tipo categoria nivel carga_horaria_min data_publicacao usuario_pseudo nome_mascarado "
     "faixa_etaria uf data_cadastro registros_origem interacao_id tipo_interacao data_hora data mes tempo_consumido "
     "percentual_conclusao avaliacao_atribuida mes_referencia interacoes pessoas_ativas conclusoes "
-    "minutos_consumidos pontuacao posicao classificacao gerado_em convertida convertida_em".split())
+    "minutos_consumidos pontuacao posicao classificacao gerado_em convertida convertida_em interacoes_por_pessoa "
+    "pessoas_retidas retencao_pct mes_completo pares_consumo pares_concluidos taxa_conclusao_pct recomendacoes "
+    "convertidas conversao_pct avaliacoes avaliacao_media pct_positivas".split())
 # Personal columns and the layers below Gold that each may reach.
 PERSONAL = {
     "nome": {"bronze", "silver"},

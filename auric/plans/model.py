@@ -162,37 +162,11 @@ class Model:
     def correspondencia(self) -> DataFrame:
         """Member → master with the match reason (own, direct CPF or e-mail
         evidence with the master, else transitive)."""
-        u = self.usuario.select("usuario_id", "cpf_hash", "email_hash")
-        m = u.select(F.col("usuario_id").alias("usuario_mestre_id"),
-                     F.col("cpf_hash").alias("m_cpf"), F.col("email_hash").alias("m_email"))
-        j = self.components.join(u, "usuario_id").join(m, "usuario_mestre_id")
-        regra = (
-            F.when(F.col("usuario_id") == F.col("usuario_mestre_id"), "proprio")
-            .when(F.col("cpf_hash") == F.col("m_cpf"), "cpf_hash")
-            .when(F.col("email_hash") == F.col("m_email"), "email_hash")
-            .otherwise("transitivo")
-        )
-        return j.select("usuario_id", "usuario_mestre_id", regra.alias("regra"))
+        return identity.correspondence(self.usuario, self.components)
 
     @cached_property
     def mestre(self) -> DataFrame:
-        """One row per person: attributes of the most recently updated
-        account, earliest registration, member count. Survivor chosen with a
-        partial-aggregating ``max_by`` (no window over a possibly huge group)."""
-        u = self.usuario.join(self.components, "usuario_id")
-        order = F.struct(F.col("atualizado_em").isNotNull(), F.col("atualizado_em"), -F.col("usuario_id"))  # ties: lowest id
-        attrs = F.struct("nome_mascarado", "email_mascarado", "faixa_etaria", "cidade", "uf", "atualizado_em")
-        g = u.groupBy("usuario_mestre_id").agg(
-            F.max_by(attrs, order).alias("s"),
-            F.min("data_cadastro").alias("data_cadastro"),
-            F.count(F.lit(1)).cast("int").alias("registros_origem"),
-        )
-        return g.select(
-            "usuario_mestre_id",
-            privacy.pseudonym(F.col("usuario_mestre_id"), self.key).alias("usuario_pseudo"),
-            "s.nome_mascarado", "s.email_mascarado", "s.faixa_etaria", "s.cidade", "s.uf",
-            "data_cadastro", "s.atualizado_em", "registros_origem",
-        )
+        return identity.master(self.usuario, self.components, self.key)
 
     @cached_property
     def person_of(self) -> DataFrame:
@@ -224,10 +198,10 @@ class Model:
         )
 
     # ---- Bronze → classified Silver ---------------------------------------
-    def bronze(self, fonte: str) -> DataFrame:
+    def bronze(self, fonte: str, spread_rows: bool = True) -> DataFrame:
         from auric.plans import raw
 
-        return raw.bronze(self.spark, self.sf, fonte)
+        return raw.bronze(self.spark, self.sf, fonte, spread_rows)
 
     @cached_property
     def cls_catalogo(self) -> DataFrame:
@@ -305,3 +279,11 @@ class Model:
         from auric.operators import gold
 
         return gold.fact_recommendation(self.recomendacao, self.person_of, self.fato_interacao)
+
+    # ---- whole runs
+    @cached_property
+    def chain(self):
+        """Two logged runs of the platform with triage between them, run once."""
+        from auric.plans.chain import Chain
+
+        return Chain(self).run()

@@ -18,38 +18,38 @@ SELECT _origem, _linha, {clean('titulo')} AS titulo, {clean('descricao')} AS des
                                           text.clean_text("descricao").alias("descricao")))
 
 query("fn_key", with_(BC, BI) + f"""
-SELECT 'catalogo' AS fonte, _origem, _linha, {SC.key('tipo')} AS chave FROM {BC}
-UNION ALL SELECT 'interacoes', _origem, _linha, {SC.key('tipo_interacao')} FROM {BI}""")(
+SELECT 'catalogo' AS fonte, _origem, _linha, {SC.folded('tipo')} AS chave FROM {BC}
+UNION ALL SELECT 'interacoes', _origem, _linha, {SC.folded('tipo_interacao')} FROM {BI}""")(
     lambda m: m.bronze("catalogo").select(F.lit("catalogo").alias("fonte"), "_origem", "_linha",
                                           text.comparison_key(F.col("tipo")).alias("chave")).unionByName(
         m.bronze("interacoes").select(F.lit("interacoes").alias("fonte"), "_origem", "_linha",
                                       text.comparison_key(F.col("tipo_interacao")).alias("chave"))))
 
 query("fn_strict_int", with_(BC) + f"""
-SELECT _origem, _linha, {SC.sint('conteudo_id')} AS conteudo_id, {SC.sint('carga_horaria_min')} AS carga
+SELECT _origem, _linha, {SC.whole('conteudo_id')} AS conteudo_id, {SC.whole('carga_horaria_min')} AS carga
   FROM {BC}""")(
     lambda m: m.bronze("catalogo").select("_origem", "_linha", parse.strict_int("conteudo_id").alias("conteudo_id"),
                                           parse.strict_int("carga_horaria_min").alias("carga")))
 
 query("fn_number", with_(BI, BR) + f"""
-SELECT 'interacoes' AS fonte, _origem, _linha, {SC.num('percentual_conclusao')} AS numero FROM {BI}
-UNION ALL SELECT 'recomendacoes', _origem, _linha, {SC.num('pontuacao')} FROM {BR}""")(
+SELECT 'interacoes' AS fonte, _origem, _linha, {SC.number('percentual_conclusao')} AS numero FROM {BI}
+UNION ALL SELECT 'recomendacoes', _origem, _linha, {SC.number('pontuacao')} FROM {BR}""")(
     lambda m: m.bronze("interacoes").select(F.lit("interacoes").alias("fonte"), "_origem", "_linha",
                                             parse.number_double("percentual_conclusao").alias("numero")).unionByName(
         m.bronze("recomendacoes").select(F.lit("recomendacoes").alias("fonte"), "_origem", "_linha",
                                          parse.number_double("pontuacao").alias("numero"))))
 
 query("fn_parse_date", with_(BC, BU) + f"""
-SELECT 'catalogo' AS fonte, _origem, _linha, {SC.pdate('data_publicacao')} AS data FROM {BC}
-UNION ALL SELECT 'usuarios', _origem, _linha, {SC.pdate('data_nascimento')} FROM {BU}""")(
+SELECT 'catalogo' AS fonte, _origem, _linha, {SC.day('data_publicacao')} AS data FROM {BC}
+UNION ALL SELECT 'usuarios', _origem, _linha, {SC.day('data_nascimento')} FROM {BU}""")(
     lambda m: m.bronze("catalogo").select(F.lit("catalogo").alias("fonte"), "_origem", "_linha",
                                           parse.parse_date(F.col("data_publicacao")).alias("data")).unionByName(
         m.bronze("usuarios").select(F.lit("usuarios").alias("fonte"), "_origem", "_linha",
                                     parse.parse_date(F.col("data_nascimento")).alias("data"))))
 
 query("fn_parse_ts", with_(BI, BU) + f"""
-SELECT 'interacoes' AS fonte, _origem, _linha, {SC.pts('data_hora')} AS ts FROM {BI}
-UNION ALL SELECT 'usuarios', _origem, _linha, {SC.pts('atualizado_em')} FROM {BU}""")(
+SELECT 'interacoes' AS fonte, _origem, _linha, {SC.moment('data_hora')} AS ts FROM {BI}
+UNION ALL SELECT 'usuarios', _origem, _linha, {SC.moment('atualizado_em')} FROM {BU}""")(
     lambda m: m.bronze("interacoes").select(F.lit("interacoes").alias("fonte"), "_origem", "_linha",
                                             parse.parse_ts(F.col("data_hora")).alias("ts")).unionByName(
         m.bronze("usuarios").select(F.lit("usuarios").alias("fonte"), "_origem", "_linha",
@@ -87,18 +87,18 @@ def _domains(m):
 
 
 query("fn_domain_map", with_(BC, BI, BR) + f"""
-SELECT _origem, _linha, {SC.dmap('tipo', domain.CONTENT_TYPES)} AS tipo, {SC.dmap('nivel', domain.LEVELS)} AS nivel,
+SELECT _origem, _linha, {SC.one_of('tipo', domain.CONTENT_TYPES)} AS tipo, {SC.one_of('nivel', domain.LEVELS)} AS nivel,
        NULL AS tipo_interacao, NULL AS classificacao FROM {BC}
-UNION ALL SELECT _origem, _linha, NULL, NULL, {SC.dmap('tipo_interacao', domain.INTERACTION_TYPES)}, NULL FROM {BI}
-UNION ALL SELECT _origem, _linha, NULL, NULL, NULL, {SC.dmap('classificacao', domain.RECOMMENDATION_CLASSES)}
+UNION ALL SELECT _origem, _linha, NULL, NULL, {SC.one_of('tipo_interacao', domain.INTERACTION_TYPES)}, NULL FROM {BI}
+UNION ALL SELECT _origem, _linha, NULL, NULL, NULL, {SC.one_of('classificacao', domain.RECOMMENDATION_CLASSES)}
   FROM {BR}""")(_domains)
 
 query("fn_enum_or_null", with_(BU) + f"""
-SELECT _origem, _linha, CASE WHEN upper(trim(uf)) IN {SC._UF} THEN upper(trim(uf)) END AS uf FROM {BU}""")(
+SELECT _origem, _linha, CASE WHEN list_contains({SC.UF}, upper(trim(uf))) THEN upper(trim(uf)) END AS uf FROM {BU}""")(
     lambda m: m.bronze("usuarios").select("_origem", "_linha", domain.state_code(F.col("uf")).alias("uf")))
 
 query("missing_fields", with_(BC) + f"""
-SELECT _origem, _linha, {SC.missing(['conteudo_id', 'titulo', 'tipo', 'categoria', 'nivel', 'carga_horaria_min',
+SELECT _origem, _linha, {SC.absent(['conteudo_id', 'titulo', 'tipo', 'categoria', 'nivel', 'carga_horaria_min',
                                       'data_publicacao'])} AS ausentes FROM {BC}""")(
     lambda m: m.bronze("catalogo").select("_origem", "_linha", text.missing_fields(
         ["conteudo_id", "titulo", "tipo", "categoria", "nivel", "carga_horaria_min", "data_publicacao"])
@@ -117,9 +117,9 @@ def _corrected(m):
 
 
 def _corr_sql():
-    finals = {"titulo": clean("titulo"), "tipo": SC.dmap("tipo", domain.CONTENT_TYPES),
-              "nivel": SC.dmap("nivel", domain.LEVELS), "carga_horaria_min": SC.sint("carga_horaria_min"),
-              "data_publicacao": SC.pdate("data_publicacao")}
+    finals = {"titulo": clean("titulo"), "tipo": SC.one_of("tipo", domain.CONTENT_TYPES),
+              "nivel": SC.one_of("nivel", domain.LEVELS), "carga_horaria_min": SC.whole("carga_horaria_min"),
+              "data_publicacao": SC.day("data_publicacao")}
     conds = " OR ".join(f"({k} IS NOT NULL AND trim({k}) IS DISTINCT FROM CAST({v} AS VARCHAR))"
                         for k, v in finals.items())
     return with_(BC) + f"""

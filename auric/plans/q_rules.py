@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from auric.operators import rules as R
 from auric.plans import sqlclassify  # noqa: F401  (registers the classifier CTEs)
+from auric.plans.chain import RUN1
 from auric.plans.registry import query
 from auric.plans.sqlmodel import with_
 
@@ -84,20 +85,14 @@ for _key, _codes in {
     query(_key, _sql)(_build)
 
 
-def _superseded(m):
-    read = None
-    for fonte in ("catalogo", "usuarios"):
-        b = m.bronze(fonte).agg(F.count(F.lit(1)).alias("lidos")).select(F.lit(fonte).alias("fonte"), "lidos")
-        read = b if read is None else read.unionByName(b)
-    kept = m.cls_todos.groupBy("fonte").agg(F.count(F.lit(1)).alias("classificados"))
-    return read.join(kept, "fonte").withColumn("superados", F.col("lidos") - F.col("classificados"))
-
-
-query("superseded_versions", with_("bronze_catalogo", "bronze_usuarios", "cls_todos") + """
-SELECT b.fonte, b.lidos, c.classificados, b.lidos - c.classificados AS superados
-  FROM (SELECT 'catalogo' AS fonte, count(*) AS lidos FROM bronze_catalogo
-        UNION ALL SELECT 'usuarios', count(*) FROM bronze_usuarios) b
-  JOIN (SELECT fonte, count(*) AS classificados FROM cls_todos GROUP BY fonte) c USING (fonte)""")(_superseded)
+# versions that lost to another file, counted by their flag while the first run wrote
+query("superseded_versions", with_("cls_catalogo_tudo", "cls_usuarios_tudo") + """
+SELECT 'catalogo' AS fonte, count(*) AS lidos, count(*) FILTER (WHERE NOT superado) AS classificados,
+       count(*) FILTER (WHERE superado) AS superados FROM cls_catalogo_tudo
+UNION ALL SELECT 'usuarios', count(*), count(*) FILTER (WHERE NOT superado), count(*) FILTER (WHERE superado) FROM cls_usuarios_tudo""")(
+    lambda m: m.chain.log.stages().where((F.col("execucao_id") == RUN1) & F.col("etapa").isin("silver_conteudo", "silver_usuario")).select(
+        F.when(F.col("etapa") == "silver_conteudo", "catalogo").otherwise("usuarios").alias("fonte"), "lidos",
+        (F.col("gravados") + F.col("quarentena")).alias("classificados"), "superados"))
 
 query("dedupe_exact_copy", ALL + """
 SELECT fonte, _origem, _linha FROM cls_todos WHERE regra = 'DUPLICADO'""")(

@@ -34,24 +34,24 @@ def _first(inner_case: str, key: str) -> str:
             f"ORDER BY _linha) = 1 THEN 'validos' ELSE 'duplicados' END")
 
 
-_CAT_FINALS = {"titulo": clean("titulo"), "tipo": SC.dmap("tipo", domain.CONTENT_TYPES),
-               "nivel": SC.dmap("nivel", domain.LEVELS), "carga_horaria_min": "v_carga",
+_CAT_FINALS = {"titulo": clean("titulo"), "tipo": SC.one_of("tipo", domain.CONTENT_TYPES),
+               "nivel": SC.one_of("nivel", domain.LEVELS), "carga_horaria_min": "v_carga",
                "conteudo_id": "v_id", "data_publicacao": "v_data", "categoria": "categoria_canonica",
                "descricao": clean("descricao"), "autor": clean("autor")}
 _CORR = " OR ".join(f"({k} IS NOT NULL AND trim({k}) IS DISTINCT FROM CAST({v} AS VARCHAR))"
                     for k, v in _CAT_FINALS.items())
 
 CTES["v1_catalogo"] = (("bronze_catalogo",), f"""
-WITH t AS (SELECT *, {SC.sint('conteudo_id')} AS v_id, {SC.sint('carga_horaria_min')} AS v_carga,
-                  {SC.pdate('data_publicacao')} AS v_data, {SC.dmap('tipo', domain.CONTENT_TYPES)} AS v_tipo,
-                  {SC.dmap('nivel', domain.LEVELS)} AS v_nivel, {SC.missing(raw.CATALOG_REQUIRED)} AS v_aus
+WITH t AS (SELECT *, {SC.whole('conteudo_id')} AS v_id, {SC.whole('carga_horaria_min')} AS v_carga,
+                  {SC.day('data_publicacao')} AS v_data, {SC.one_of('tipo', domain.CONTENT_TYPES)} AS v_tipo,
+                  {SC.one_of('nivel', domain.LEVELS)} AS v_nivel, {SC.absent(raw.CATALOG_REQUIRED)} AS v_aus
              FROM bronze_catalogo WHERE _origem = '{BASE['catalogo']}'),
 c AS (SELECT *, CASE WHEN v_aus IS NOT NULL THEN 'incompletos'
                      WHEN v_id IS NULL OR v_id <= 0 OR v_carga IS NULL OR v_carga < 0 OR v_data IS NULL
                           OR v_tipo IS NULL OR v_nivel IS NULL THEN 'invalidos' END AS classe0 FROM t),
 d AS (SELECT *, {_first('', 'v_id')} AS classe FROM c),
 e AS (SELECT *, CASE WHEN classe = 'validos' THEN first_value({clean('categoria')}) OVER (
-                     PARTITION BY classe = 'validos', {SC.key('categoria')} ORDER BY _linha) END AS categoria_canonica
+                     PARTITION BY classe = 'validos', {SC.folded('categoria')} ORDER BY _linha) END AS categoria_canonica
         FROM d)
 SELECT _linha, classe, CASE WHEN classe = 'validos' THEN v_id END AS conteudo_id,
        CASE WHEN classe = 'validos' THEN categoria_canonica END AS categoria,
@@ -61,10 +61,10 @@ SELECT _linha, classe, CASE WHEN classe = 'validos' THEN v_id END AS conteudo_id
 
 _PRESENT_BAD = lambda raw_c, typed, extra: f"({raw_c} IS NOT NULL AND ({typed} IS NULL OR {extra}))"
 CTES["v1_interacoes"] = (("bronze_interacoes", "v1_catalogo"), f"""
-WITH t0 AS (SELECT b.*, {SC.sint('usuario_id')} AS v_usuario, {SC.sint('conteudo_id')} AS v_conteudo,
-                  {SC.dmap('tipo_interacao', domain.INTERACTION_TYPES)} AS v_tipo, {SC.pts('data_hora')} AS v_data_hora,
-                  {SC.sint('tempo_consumido')} AS v_tempo, {SC.num('percentual_conclusao')} AS v_pct,
-                  {SC.sint('avaliacao_atribuida')} AS v_nota, {SC.missing(raw.EVENT_REQUIRED)} AS v_aus,
+WITH t0 AS (SELECT b.*, {SC.whole('usuario_id')} AS v_usuario, {SC.whole('conteudo_id')} AS v_conteudo,
+                  {SC.one_of('tipo_interacao', domain.INTERACTION_TYPES)} AS v_tipo, {SC.moment('data_hora')} AS v_data_hora,
+                  {SC.whole('tempo_consumido')} AS v_tempo, {SC.number('percentual_conclusao')} AS v_pct,
+                  {SC.whole('avaliacao_atribuida')} AS v_nota, {SC.absent(raw.EVENT_REQUIRED)} AS v_aus,
                   1 AS _x
              FROM bronze_interacoes b WHERE b._origem = '{BASE['interacoes']}'),
 t AS (SELECT t0.*, p.conteudo_id AS k, p.data_publicacao AS pub FROM t0
@@ -84,9 +84,9 @@ c AS (SELECT *, CASE WHEN v_aus IS NOT NULL THEN 'incompletos'
 SELECT _linha, {_first('', '{"u": v_usuario, "c": v_conteudo, "t": v_tipo, "d": v_data_hora}')} AS classe FROM c""")
 
 CTES["v1_comentarios"] = (("bronze_comentarios", "v1_catalogo"), f"""
-WITH t0 AS (SELECT b.*, {SC.sint('usuario_id')} AS v_usuario, {SC.sint('conteudo_id')} AS v_conteudo,
-                  {SC.sint('avaliacao')} AS v_nota, {clean('comentario')} AS v_texto, {SC.pdate('data')} AS v_data,
-                  {SC._TAGS} AS v_tags, {SC.missing(raw.COMMENT_REQUIRED)} AS v_aus,
+WITH t0 AS (SELECT b.*, {SC.whole('usuario_id')} AS v_usuario, {SC.whole('conteudo_id')} AS v_conteudo,
+                  {SC.whole('avaliacao')} AS v_nota, {clean('comentario')} AS v_texto, {SC.day('data')} AS v_data,
+                  {SC.TAGS} AS v_tags, {SC.absent(raw.COMMENT_REQUIRED)} AS v_aus,
                   1 AS _x
              FROM bronze_comentarios b WHERE b._origem = '{BASE['comentarios']}'),
 t AS (SELECT t0.*, p.conteudo_id AS k, p.data_publicacao AS pub FROM t0

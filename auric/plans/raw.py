@@ -142,7 +142,7 @@ REC_COLS = {
     "gerado_em": f"replace(substr(CAST(l_shipdate AS {S}), 1, 19), ' ', 'T')",
 }
 REC_REQUIRED = ["usuario_id", "conteudo_id", "pontuacao", "posicao", "classificacao", "gerado_em"]
-REC_PARTS = [("dados/brutos/recomendacoes_desafio1.json", "l_orderkey * 8 + l_linenumber", "TRUE", {})]
+REC_PARTS = [("dados/brutos/recomendacoes.json", "l_orderkey * 8 + l_linenumber", "TRUE", {})]
 
 SOURCES = {
     # fonte: (table, columns, required, parts, key column for the record label)
@@ -176,15 +176,15 @@ def bronze_sql(fonte: str) -> str:
     return "\nUNION ALL\n".join(selects)
 
 
-def bronze(spark, sf_dir: str, fonte: str):
+def bronze(spark, sf_dir: str, fonte: str, spread_rows: bool = True):
     """Spark: same raw delivery as a DataFrame (all business columns strings)."""
     from pyspark.sql import functions as F
 
     from auric.sources.tables import table as load
 
     table, cols, _, parts = SOURCES[fonte]
-    # parsing and rules run per row on every delivery: use all cores
-    base = load(spark, sf_dir, table, spread_rows=True)
+    # parsing and rules run per row on every delivery: use all cores; a mere count needs no spread
+    base = load(spark, sf_dir, table, spread_rows=spread_rows)
     out = None
     for origem, linha, where, over in parts:
         exprs = part_exprs(cols, over)
@@ -193,3 +193,35 @@ def bronze(spark, sf_dir: str, fonte: str):
             *[F.expr(e).cast("string").alias(n) for n, e in exprs.items()])
         out = df if out is None else out.unionByName(df)
     return out
+
+
+# ---------------------------------------------------------------- a second day: lines delivered anew, and what triage did
+#: fonte: (field, new value, lines that come with it): the same lines with other content.
+REDELIVERED = {
+    "catalogo": ("autor", "'Autor revisto'", "_linha % 52 = 0"),
+    "usuarios": ("cidade", "'Cidade nova'", "_linha % 10 = 0"),
+    "interacoes": ("tempo_consumido", "'1'", "_linha % 10 = 3"),
+    "comentarios": ("tags", "'[\"novo\"]'", "_linha % 6 = 1"),
+    "recomendacoes": ("pontuacao", "'50'", "_linha % 9 = 4"),
+}
+#: fonte: (rejected records, edited field, new value); without a field the records are given up.
+TRIAGE = {
+    "catalogo": [("regra = 'DOMINIO' AND trim(tipo) = 'Webinar'", "tipo", "'Curso'"),
+                 ("regra = 'DOMINIO' AND trim(nivel) = 'expert'", "nivel", "'Básico'"),
+                 ("regra = 'TIPO_INVALIDO' AND _linha % 2 = 0", None, None)],
+    "usuarios": [("regra = 'FORMATO' AND email NOT LIKE '%@%'", "email", "'corrigido' || trim(usuario_id) || '@example.com'"),
+                 ("regra = 'DOMINIO'", "uf", "'SP'"), ("regra = 'TIPO_INVALIDO'", None, None)],
+    "interacoes": [("regra = 'DOMINIO' AND tipo_interacao = 'download'", "tipo_interacao", "'curtida'"),
+                   ("regra = 'VALOR_NEGATIVO'", "tempo_consumido", "'0'"), ("regra = 'REF_USUARIO' AND _linha % 2 = 0", None, None)],
+    "comentarios": [("regra = 'FAIXA'", "avaliacao", "'3'"), ("regra = 'FORMATO'", "tags", "'[]'"), ("regra = 'CAMPO_OBRIGATORIO'", None, None)],
+    "recomendacoes": [("regra = 'DOMINIO'", "classificacao", "'positivo'"), ("regra = 'FAIXA' AND trim(posicao) = '0'", "posicao", "'1'"),
+                      ("regra = 'REF_CONTEUDO' AND _linha % 3 = 0", None, None)],
+}
+
+
+def redelivered(df, fonte: str):
+    """Spark: the delivery of ``fonte`` a day later."""
+    from pyspark.sql import functions as F
+
+    field, value, where = REDELIVERED[fonte]
+    return df.withColumn(field, F.when(F.expr(where), F.expr(value)).otherwise(F.col(field)))

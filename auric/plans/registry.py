@@ -14,14 +14,19 @@ from auric.plans.model import Model
 class Query:
     name: str
     build: Callable[[Model], DataFrame]
-    sql: str | None
+    text: str | Callable[[], str] | None
+
+    @property
+    def sql(self) -> str | None:
+        """The oracle SQL; where it needs tables of modules loaded later, it is made when asked for."""
+        return self.text() if callable(self.text) else self.text
 
 
 REGISTRY: dict[str, Query] = {}
 _MODELS: dict[tuple[str, str], Model] = {}
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, sql: str | Callable[[], str] | None = None):
     """Register ``fn(model) -> DataFrame`` under ``name`` with its oracle SQL."""
 
     def deco(fn: Callable[[Model], DataFrame]):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -83,3 +84,11 @@ def stage(df, name: str = "stage"):
     path = scratch_dir(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def together(**calls):
+    """Results by name of calls that submit independent jobs, run side by side so that small jobs do not wait for each
+    other; the first error is raised once all have ended."""
+    with ThreadPoolExecutor(max_workers=min(8, max(1, len(calls)))) as pool:
+        running = {name: pool.submit(call) for name, call in calls.items()}
+    return {name: r.result() for name, r in running.items()}

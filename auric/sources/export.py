@@ -1,19 +1,13 @@
 """Columnar export, manifest, cross-format reconciliation, keyed upsert and
-atomic publish by pointer.
-
-Parquet tables carry no transactions, so a publish writes every table of a
-run under ``<root>/<table>/v=<run>``, checks the staged output, and only
-then swaps one small pointer file naming the run; readers resolve tables
-through the pointer, so they see either the old or the new run, never a mix.
+publish of plain tables (see :mod:`auric.sources.store`).
 """
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from auric.sources.store import PublishRefused, TableStore
 
 # full microsecond precision in text formats (the JSON default keeps milliseconds)
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -95,38 +89,18 @@ def upsert_counts(old: DataFrame, new: DataFrame, key: list[str], value_cols: li
 
 
 # ---------------------------------------------------------------- publish
-def _fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
 def publish(spark: SparkSession, root: str, run_id: str, tables: dict[str, DataFrame],
             checks: dict[str, DataFrame] | None = None) -> dict:
-    """Stage every table under its versioned folder, run the checks (each a
-    DataFrame that must be empty), then swap the pointer. Returns the pointer."""
-    root = root.rstrip("/")
+    """Publish ``tables`` as one version of the store at ``root`` if each of ``checks`` has no rows; the commit."""
+    store = TableStore(spark, root)
+    draft = store.draft(run_id)
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{root}/{name}/v={run_id}")
+        draft.add(name, df)
     for name, check in (checks or {}).items():
         if not check.isEmpty():
-            raise RuntimeError(f"publish check failed: {name}")
-    pointer = {"execucao_id": run_id, "tabelas": sorted(tables)}
-    fs, tmp = _fs(spark, f"{root}/_current.json.tmp")
-    out = fs.create(tmp, True)
-    out.write(bytearray(json.dumps(pointer).encode("utf-8")))
-    out.close()
-    _, final = _fs(spark, f"{root}/_current.json")
-    if fs.exists(final):
-        fs.delete(final, False)
-    fs.rename(tmp, final)
-    return pointer
+            raise PublishRefused(f"publish check failed: {name}")
+    return store.publish(draft)
 
 
 def read_current(spark: SparkSession, root: str, table: str) -> DataFrame:
-    fs, p = _fs(spark, f"{root.rstrip('/')}/_current.json")
-    stream = fs.open(p)
-    data = bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
-    stream.close()
-    run_id = json.loads(data.decode("utf-8"))["execucao_id"]
-    return spark.read.parquet(f"{root.rstrip('/')}/{table}/v={run_id}")
+    return TableStore(spark, root).read(table)

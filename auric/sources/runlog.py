@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import threading
 import time
 import uuid
 
@@ -64,13 +65,14 @@ class Stage:
 class RunLog:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self._last = 0
+        self._last, self._lock = 0, threading.Lock()
 
     def _append(self, run_id: str, event: str, stage: str | None = None, message: str | None = None, **counts) -> None:
-        self._last = max(self._last + 1, time.time_ns())  # events of one writer are in the order written
+        with self._lock:  # events of one writer are in the order written
+            order = self._last = max(self._last + 1, time.time_ns())
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat()
-        row = {"execucao_id": run_id, "ordem": self._last, "evento": event, "etapa": stage, "em": now, "mensagem": message, **counts}
-        create_file(self.spark, f"{self.root}/eventos/{self._last}-{uuid.uuid4().hex[:8]}.json", json.dumps(row).encode())
+        row = {"execucao_id": run_id, "ordem": order, "evento": event, "etapa": stage, "em": now, "mensagem": message, **counts}
+        create_file(self.spark, f"{self.root}/eventos/{order}-{uuid.uuid4().hex[:8]}.json", json.dumps(row).encode())
 
     # ---- writing
     def open_run(self, run_id: str | None = None) -> str:

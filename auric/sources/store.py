@@ -20,6 +20,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from auric.session import together
+
 
 class PublishRefused(RuntimeError):
     """A precondition or check of a publish failed; what was current stays current."""
@@ -83,8 +85,14 @@ class Draft:
 
     def check(self, name: str, failing: Callable[[Draft], DataFrame]) -> None:
         """Refuse unless ``failing``, computed over the written tables, has no rows."""
-        if not failing(self).isEmpty():
-            raise PublishRefused(f"check failed on the tables written: {name}")
+        self.check_all({name: failing})
+
+    def check_all(self, checks: dict[str, Callable[[Draft], DataFrame]]) -> None:
+        """Run several checks side by side and name those that fail."""
+        empty = together(**{name: lambda f=failing: f(self).isEmpty() for name, failing in checks.items()})
+        failed = [name for name, ok in empty.items() if not ok]
+        if failed:
+            raise PublishRefused(f"check failed on the tables written: {', '.join(failed)}")
 
 
 class TableStore:
