@@ -18,9 +18,13 @@ from pyspark.sql import functions as F
 
 from auric.llm.arrowtext import flat, shared, slices
 
-#: Documents that the machines are fitted on, over all languages, and the longest text among them in bytes.
-MAX_DOCS, MAX_DOC_BYTES = 4000, 1 << 20
+#: Documents that the machines are fitted on, over all languages.
+MAX_DOCS = 4000
 BUCKETS, ORDERS, ROWS = 4096, 3, 512
+#: Bytes of text that n-grams are counted of at a time.
+CHUNK = 1 << 20
+#: Features reach the driver as 16-bit numbers, multiplied by this.
+WIDE = 256.0
 #: Parts that a language's documents are ranked in first.
 PARTS = 64
 STEPS, PENALTY = 200, 1e-3
@@ -61,15 +65,17 @@ def frequencies(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """A row per text: relative frequencies of its byte n-grams by bucket, for each order of n-gram alike."""
     n = len(offsets) - 1
     counts = np.zeros(n * BUCKETS, np.float32)
-    if len(data):
-        seen = letters_table()[data].astype(np.uint32)
-        text = np.repeat(np.arange(n), np.diff(offsets))
-        code = np.zeros(len(data), np.uint32)
+    table = letters_table()
+    for a in range(0, len(data), CHUNK):  # the n-grams that begin in the chunk
+        seen = table[data[a: a + CHUNK + ORDERS - 1]].astype(np.uint32)
+        text = np.searchsorted(offsets, np.arange(a, a + len(seen)), "right") - 1
+        code, own = np.zeros(len(seen), np.uint32), min(CHUNK, len(data) - a)
         for order in range(1, ORDERS + 1):
-            code = code[: len(data) - order + 1] * np.uint32(0x01000193) + seen[order - 1:] + np.uint32(order)
-            inside = text[order - 1:] == text[: len(data) - order + 1]
+            last = min(own, len(seen) - order + 1)
+            code = code[:last] * np.uint32(0x01000193) + seen[order - 1: order - 1 + last] + np.uint32(order)
+            inside = text[order - 1: order - 1 + last] == text[:last]
             bucket = (code * np.uint32(0x9E3779B1)) >> np.uint32(20)
-            counts += np.bincount((text[order - 1:] * BUCKETS + bucket)[inside], minlength=n * BUCKETS).astype(np.float32)
+            counts += np.bincount((text[:last] * BUCKETS + bucket)[inside], minlength=n * BUCKETS).astype(np.float32)
     out = counts.reshape(n, BUCKETS)
     return out / np.maximum(out.sum(1, keepdims=True), 1)
 
@@ -81,16 +87,19 @@ def has_letters(data: bytes) -> bool:
     return any(unicodedata.category(c)[0] == "L" for c in data.decode("utf-8"))
 
 
-def fit_machine(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+def fit_machine(blocks: list[np.ndarray], labels: list[np.ndarray]) -> tuple[np.ndarray, float]:
     """Weights and offset of a linear support vector machine (squared hinge loss, classes weighted alike) by
-    accelerated gradient steps; y is +1 or -1."""
-    weight = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)).astype(np.float32)
-    w, b = np.zeros(x.shape[1], np.float32), 0.0
+    accelerated gradient steps. The rows stand in blocks, which are views; labels are +1 or -1."""
+    up, down = (max(sum(int((y * sign > 0).sum()) for y in labels), 1) for sign in (1, -1))
+    weights = [np.where(y > 0, 0.5 / up, 0.5 / down).astype(np.float32) for y in labels]
+    width = blocks[0].shape[1]
+    w, b = np.zeros(width, np.float32), 0.0
     u, c = w.copy(), b
-    bound = 2 * float(np.sum(weight * ((x * x).sum(1) + 1))) + PENALTY
+    bound = 2 * sum(float(np.sum(v * (np.einsum("ij,ij->i", x, x) + 1))) for x, v in zip(blocks, weights)) + PENALTY
     for k in range(STEPS):
-        slack = np.maximum(0, 1 - y * (x @ u + c)) * weight * y
-        nw, nb = u - (PENALTY * u - 2 * (x.T @ slack)) / bound, c + 2 * float(slack.sum()) / bound
+        slack = [np.maximum(0, 1 - y * (x @ u + c)) * v * y for x, y, v in zip(blocks, labels, weights)]
+        grad = sum(x.T @ s for x, s in zip(blocks, slack))
+        nw, nb = u - (PENALTY * u - 2 * grad) / bound, c + 2 * sum(float(s.sum()) for s in slack) / bound
         m = k / (k + 3)
         u, c = nw + m * (nw - w), nb + m * (nb - b)
         w, b = nw, nb
@@ -105,25 +114,34 @@ class Model:
         self.families: dict = {}
         for lang in self.langs:
             self.families.setdefault(family(lang), []).append(lang)
-        own, kin = np.array(langs, object), np.array([family(v) for v in langs], object)
         self.names = sorted(self.families)
-        self.mean = x.mean(0) if len(x) else np.zeros(BUCKETS, np.float32)
-        self.scale = np.maximum(x.std(0), 1e-4) if len(x) else np.ones(BUCKETS, np.float32)
-        z = (x - self.mean) / self.scale
-        z /= np.sqrt(BUCKETS)
+        order = sorted(range(len(langs)), key=lambda k: langs[k])  # a language's rows stand together
+        z = x[order].astype(np.float32)
+        self.mean = z.mean(0) if len(z) else np.zeros(BUCKETS, np.float32)
+        self.scale = np.maximum(z.std(0), 1e-4 * WIDE) if len(z) else np.ones(BUCKETS, np.float32)
+        z -= self.mean
+        z /= self.scale * np.float32(np.sqrt(BUCKETS))
+        first, block = 0, {}
+        for lang in self.langs:
+            n = langs.count(lang)
+            block[lang] = z[first: first + n]
+            first += n
+
+        def machine(up, down):
+            rows = [*((block[v], 1) for v in up), *((block[v], -1) for v in down)]
+            return fit_machine([r for r, _ in rows], [np.full(len(r), sign, np.float32) for r, sign in rows])
+
         machines = []
         if len(self.names) > 1:
-            machines = [fit_machine(z, np.where(kin == f, 1, -1).astype(np.float32)) for f in self.names]
+            machines = [machine(self.families[f], [v for v in self.langs if v not in self.families[f]]) for f in self.names]
         self.pairs = [p for f in self.names for p in combinations(self.families[f], 2)]
-        for a, b in self.pairs:
-            some = (own == a) | (own == b)
-            machines.append(fit_machine(z[some], np.where(own[some] == a, 1, -1).astype(np.float32)))
+        machines += [machine([a], [b]) for a, b in self.pairs]
         self.weights = np.stack([w for w, _ in machines], 1) if machines else np.zeros((BUCKETS, 0), np.float32)
         self.offset = np.array([b for _, b in machines], np.float32)
 
     def predict(self, x: np.ndarray) -> tuple[list, np.ndarray]:
         """(language, score from 0 to 1) of each row."""
-        margins = ((x - self.mean) / self.scale / np.sqrt(BUCKETS)) @ self.weights + self.offset
+        margins = ((x * np.float32(WIDE) - self.mean) / (self.scale * np.float32(np.sqrt(BUCKETS)))) @ self.weights + self.offset
         sure = 1 / (1 + np.exp(-2 * np.clip(margins.astype(np.float64), -30, 30)))
         levels = len(self.names) if len(self.names) > 1 else 0
         out, score = [], np.ones(len(x))
@@ -144,18 +162,18 @@ class Model:
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = MAX_DOCS) -> Model | None:
     """Fit on ``docs``, whose rows are those to learn from: a sample of at most ``max_docs`` documents, shared evenly
-    among the languages (those with the smallest hash of the id), texts up to ``MAX_DOC_BYTES``. Features are made
-    by the tasks; None without a labelled row."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("txt")).where(
-        F.col("id").isNotNull() & F.col("lang").isNotNull() & (F.octet_length("txt") <= MAX_DOC_BYTES))
+    among the languages (those with the smallest hash of the id). Features of whole texts are made by the tasks;
+    rows with a null id, language or text are not learnt from; None without a labelled row."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("txt")).dropna()
     langs = rows.select("lang").distinct().count()
     if not langs:
         return None
     # the first of each part of a language, then of the parts together, so that no task gets all of one language
     ids = rows.select("id", "lang", F.xxhash64("id").alias("h")).withColumn("part", F.pmod("h", F.lit(PARTS)))
+    most = max(1, max_docs // langs)
     for by in (("lang", "part"), ("lang",)):
         w = Window.partitionBy(*by).orderBy("h", "id")
-        ids = ids.withColumn("k", F.row_number().over(w)).where(F.col("k") <= max(1, max_docs // langs)).drop("k")
+        ids = ids.withColumn("k", F.row_number().over(w)).where(F.col("k") <= most).drop("k")
     ids = ids.select("id", "lang").distinct()
 
     def scan(batches):
@@ -163,13 +181,15 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
             for k in range(0, whole.num_rows, ROWS):
                 for batch in slices(whole.slice(k, ROWS), "txt"):
                     x = frequencies(*flat(batch.column("txt")))
-                    yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("lang"), pa.array([r.tobytes() for r in x], pa.binary())], names=["id", "lang", "x"])
+                    yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("lang"), pa.array([r.tobytes() for r in (x * WIDE).astype(np.float16)], pa.binary())], names=["id", "lang", "x"])
 
     kind = rows.schema["id"].dataType.simpleString()
     found = (rows.join(F.broadcast(ids), ["id", "lang"]).mapInArrow(scan, f"id {kind}, lang string, x binary")
-             .groupBy("id", "lang").agg(F.min("x").alias("x")).orderBy("id", "lang").collect())
-    x = np.stack([np.frombuffer(r["x"], np.float32) for r in found]) if found else np.zeros((0, BUCKETS), np.float32)
-    return Model(x, [r["lang"] for r in found]) if found else None
+             .groupBy("id", "lang").agg(F.min("x").alias("x")).orderBy("id", "lang").toArrow())  # 8 KB a row
+    if not found.num_rows:
+        return None
+    x = np.frombuffer(b"".join(v.as_buffer() for v in found.column("x")), np.float16).reshape(-1, BUCKETS)
+    return Model(x, found.column("lang").to_pylist())
 
 
 def identify(docs: DataFrame, model: Model | None, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -10,16 +10,21 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from auric.llm.arrowtext import SpanHasher, flat, lower_az, shared, slices, word_spans
+from auric.session import stage
 
-#: Labelled documents that are fitted on, of each class, and the longest text among them in bytes.
-MAX_DOCS, MAX_DOC_BYTES = 5000, 1 << 16
+#: Labelled documents that are fitted on, of each class, and the terms that they have in all; a class whose documents
+#: have more terms is fitted on fewer documents.
+MAX_DOCS, MAX_TERMS = 5000, 4_000_000
 #: Terms are learnt that stand in so many documents of the sample and whose chi-squared statistic against the label is
-#: so large; of more than MOST_TERMS the most telling.
+#: so large, alone or beside another term; of more than MOST_TERMS the most telling.
 LEAST_DOCS, LEAST_CHI, MOST_TERMS = 4, 10.0, 4000
+#: For terms that tell something only beside another: the statistic that they need there, the most telling terms beside
+#: which all others are tried, and the most frequent terms that are tried in pairs.
+PAIR_CHI, BESIDE, FREQUENT = 30.0, 32, 512
 PREFIXES = (4, 5, 6)
 FACTORS, EPOCHS, BATCH, RATE, SPARSE, SEED = 4, 12, 500, 0.15, 2e-4, 13
 
@@ -49,15 +54,42 @@ def distinct(text: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return (both >> np.uint64(32)).astype(np.int64), both.astype(np.uint32)
 
 
+def chi_squared(count: np.ndarray, toxic: np.ndarray, n: float, p: float) -> np.ndarray:
+    """The statistic of being in ``count`` of ``n`` documents, ``toxic`` of them with the label, whose share is ``p``; 0
+    for terms in too few documents."""
+    chi = (toxic - count * p) ** 2 / np.maximum(count * p * (1 - p) * (1 - count / max(n, 1)), 1e-9)
+    return np.where((count < LEAST_DOCS) | (p <= 0) | (p >= 1), 0, chi)
+
+
 def telling(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """The terms worth learning, in order: by the chi-squared statistic of their documents against the label."""
+    """The terms worth learning, in order. A term's worth is its chi-squared statistic against the label; that among the
+    documents with one of the most telling terms, if it is larger, as a group's name tells nothing alone but beside an
+    insult; and that of its pairs with other frequent terms, as neither of two may tell anything alone."""
     known, number, count = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
-    toxic = np.bincount(number, np.repeat(labels, [len(r) for r in rows]), len(known))
-    n, p = len(labels), labels.mean()
-    chi = (toxic - count * p) ** 2 / np.maximum(count * p * (1 - p) * (1 - count / n), 1e-9)
-    chi[(count < LEAST_DOCS) | (chi < LEAST_CHI)] = 0
-    best = np.argsort(-chi, kind="stable")[:MOST_TERMS]
-    return np.sort(known[best[chi[best] > 0]])
+    size = np.array([len(r) for r in rows])
+    n, p, m = len(labels), float(labels.mean()), len(known)
+    doc = np.repeat(np.arange(n, dtype=np.int32), size)
+    alone = chi_squared(count, np.bincount(number, labels[doc], m), n, p)
+    worth = np.where(alone >= LEAST_CHI, alone, 0)
+    for term in np.argsort(-alone, kind="stable")[:BESIDE]:
+        has = np.zeros(n, bool)
+        has[doc[number == term]] = True
+        some = has[doc]
+        beside = chi_squared(np.bincount(number[some], minlength=m), np.bincount(number[some], labels[doc[some]], m), float(has.sum()), float(labels[has].mean()))
+        worth = np.maximum(worth, np.where(beside >= PAIR_CHI, beside, 0))
+    often = np.argsort(-np.minimum(count, n - count), kind="stable")[:FREQUENT]
+    place = np.full(m, -1)
+    place[often] = np.arange(len(often))
+    held = np.zeros((n, len(often)), np.float32)
+    some = place[number] >= 0
+    held[doc[some], place[number[some]]] = 1
+    both, toxic = held.T @ held, held.T @ (held * labels[:, None])
+    pair = chi_squared(both, toxic, n, p)
+    pair[pair < np.maximum(PAIR_CHI, 2 * np.maximum(alone[often][:, None], alone[often][None])) ] = 0  # more than its parts tell
+    np.fill_diagonal(pair, 0)
+    worth[often] = np.maximum(worth[often], pair.max(1, initial=0))
+    best = np.argsort(-worth, kind="stable")[:MOST_TERMS]
+    return np.sort(known[best[worth[best] > 0]])
 
 
 class Machine:
@@ -126,16 +158,17 @@ class Machine:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_docs: int = MAX_DOCS) -> Machine:
-    """Fit on documents with a label among the rows of ``labels``: of each class at most ``max_docs``, those with the
-    smallest hash of the id, texts up to ``MAX_DOC_BYTES``. Terms are made by the tasks. Null ids and labels are left
-    out; ids labelled twice take the higher label, and an id that stands twice in ``docs`` counts once."""
+    """Fit on documents with a label among the rows of ``labels``: of each class those with the smallest hash of the id,
+    at most ``max_docs`` and with at most ``MAX_TERMS`` terms in all (but one at least). Terms of whole texts are made
+    by the tasks. Null ids and labels are left out; ids labelled twice take the higher label, and an id that stands
+    twice in ``docs`` counts once."""
     marks = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y is not null")
              .groupBy("id").agg(F.max("y").alias("y")))
     ids = None
     for y in (0, 1):
         part = marks.where((F.col("y") > 0) == bool(y)).orderBy(F.xxhash64("id"), "id").limit(max_docs).select("id", F.lit(y).alias("y"))
         ids = part if ids is None else ids.unionByName(part)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("txt")).where(F.octet_length("txt") <= MAX_DOC_BYTES)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("txt"))
     rows = rows.join(F.broadcast(ids), "id")  # at most 2 * max_docs ids
 
     def scan(batches):
@@ -148,8 +181,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("y"), pa.array(found, pa.binary())], names=["id", "y", "x"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    found = rows.mapInArrow(scan, f"id {kind}, y int, x binary").groupBy("id").agg(F.max("y").alias("y"), F.min("x").alias("x")).orderBy("id").collect()
-    return Machine([np.frombuffer(r["x"], np.uint32) for r in found], np.array([r["y"] for r in found], np.float32))
+    found = stage(rows.mapInArrow(scan, f"id {kind}, y int, x binary").groupBy("id").agg(F.max("y").alias("y"), F.min("x").alias("x")), "terms")
+    w = Window.partitionBy("y").orderBy(F.xxhash64("id"), "id")  # at most max_docs rows a class
+    size = found.select("id", "y", (F.octet_length("x") / 4).alias("n"))
+    some = size.withColumn("upto", F.sum("n").over(w)).withColumn("k", F.row_number().over(w)).where((F.col("upto") <= MAX_TERMS) | (F.col("k") == 1))
+    read = found.join(F.broadcast(some.select("id")), "id").orderBy("id").select("y", "x").toArrow()
+    return Machine([np.frombuffer(x.as_buffer(), np.uint32) for x in read.column("x")], read.column("y").to_numpy().astype(np.float32))
 
 
 def score(docs: DataFrame, machine: Machine, text_col: str = "text", keep: list[str] | None = None, threshold: float = 0.7) -> DataFrame:

@@ -176,6 +176,56 @@ def test_toxicity_pairs():
     assert value(11, 22) > 0 > max(value(11), value(22))
 
 
+@pytest.mark.parametrize("case", ["both or neither", "neutral beside an insult"])
+def test_toxicity_of_terms_that_tell_nothing_alone(case):
+    rng = np.random.default_rng(1)
+    rows, labels = [], []
+    for k in range(4000):
+        noise = [100 + t for t in rng.integers(0, 400, 12)]
+        if case == "both or neither":
+            a, b = rng.random() < 0.5, rng.random() < 0.5
+            x, toxic = [11] * a + [22] * b, a == b
+        else:  # a group's name is as often toxic as any text, but always beside an insult
+            insult, group = rng.random() < 0.3, rng.random() < 0.2
+            other = not group and rng.random() < 0.3
+            x, toxic = [11] * insult + [22] * group + [33] * other, (insult and group) or other
+        rows.append(np.unique(np.array(x + noise, np.uint32)))
+        labels.append(toxic)
+    machine = toxicity.Machine(rows, np.array(labels, np.float32))
+    number = {int(t): k for k, t in enumerate(machine.terms)}
+
+    def value(*terms):
+        at = np.array([number[t] for t in terms if t in number], np.int64)
+        return machine.value(np.zeros(len(at), np.int64), at, 1)[0][0]
+
+    assert value(11, 22) > 1 and value(11) < -1 and value(22) < -1
+    assert value() > 0 if case == "both or neither" else value(33) > 0 > value()
+
+
+def test_toxicity_learns_from_long_texts(spark):
+    """The class that is found in long texts only, more than 64 KB each, is learnt."""
+    filler = "the old river and the bank by the town are green in early may when all of it was new"
+    rows = [(k, " ".join([filler] * (700 if k % 4 == 0 else 1)) + (" nastiest" if k % 4 == 0 else "")) for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    machine = toxicity.fit(docs, spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(200)], "doc_id long, toxic int"))
+    got = toxicity.score(spark.createDataFrame([(0, "so nastiest it is"), (1, "so it is")], "doc_id long, text string"), machine).collect()
+    assert {r.doc_id: r.predicted for r in got} == {0: 1, 1: 0}
+
+
+def test_language_of_long_texts(spark, monkeypatch):
+    """A language found in long texts only is learnt, and n-grams count alike in chunks and at once."""
+    data, offsets = flat(pa.array(["Über den Fluß", "", None, "the river bank " * 50, "é"]))
+    whole = language.frequencies(data, offsets)
+    monkeypatch.setattr(language, "CHUNK", 7)
+    assert np.allclose(language.frequencies(data, offsets), whole)
+    monkeypatch.undo()
+    rows = [(k, "der Fluss und die Stadt am alten Ufer " * 30_000, "de") for k in range(3)] + [(k, f"the old river and bank {k} today", "en") for k in range(10, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    model = language.fit(docs)
+    assert model.langs == ["de", "en"]
+    assert {r.lang_pred for r in language.identify(docs.where("doc_id < 3"), model).collect()} == {"de"}
+
+
 def test_toxicity_of_odd_rows(spark):
     docs = documents(spark)
     none = toxicity.fit(docs, spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int"))
