@@ -26,6 +26,8 @@ TOLERANCE, RANGE_TOLERANCE = 0.01, 0.2
 #: A shard is exchanged in ranges of about so many bytes, at least and at most so many ranges.
 RANGE_BYTES, LEAST_RANGES, MOST_RANGES = 128 << 20, 8, 512
 KEY_BITS = 192
+#: A shard's end within a group of equal texts moves to the group's nearer edge if the group is at most this part of a shard.
+WHOLE_GROUP = 1 / 8
 
 
 def key_bytes(batch) -> np.ndarray:
@@ -127,13 +129,39 @@ def find_splitters(keyed: DataFrame, shards: int, ranges: int, total: int, rows:
                 s.high = (min(s.high[0], known[k][3]), *s.high[1:])
 
 
+def at_group_edges(keyed: DataFrame, ends: list[tuple], shards: int, ranges: int, total: int) -> list[tuple]:
+    """``ends`` with shard ends moved out of groups of equal texts that are small enough to stay whole. The bytes up to
+    the edges of the groups at shard ends are counted in one pass."""
+    group = 1 << (KEY_BITS - 64)
+    at = range(ranges - 1, len(ends), ranges)
+    edges = sorted({e for k in at for e in (ends[k][0] // group * group, (ends[k][0] // group + 1) * group)} - {0, 1 << KEY_BITS})
+    if not edges:
+        return ends
+    known = {0: (0, 0), **{e: x[:2] for e, x in zip(edges, count_below(keyed, edges))}}
+    out = list(ends)
+    for k in at:
+        low = out[k][0] // group * group
+        begin, end = known.get(low), known.get(low + group)
+        if begin and end and end[0] - begin[0] <= WHOLE_GROUP * total / shards:
+            target = total * (k + 1) / (shards * ranges)
+            out[k] = (low, *begin) if abs(begin[0] - target) <= abs(end[0] - target) else (low + group, *end)
+    bounds = [(0, 0, 0), *[out[k] for k in at], (1 << KEY_BITS, total, out[-1][2] if out else 0)]
+    for k in range(len(out)):  # the ranges within a shard end where it ends
+        if (k + 1) % ranges:
+            s = k // ranges
+            if not bounds[s][0] <= out[k][0] <= bounds[s + 1][0]:
+                out[k] = min(max(out[k], bounds[s], key=lambda x: x[0]), bounds[s + 1], key=lambda x: x[0])
+    return out
+
+
 def shard_rows(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text",
                tolerance: float = TOLERANCE, keep: list[str] | None = None) -> DataFrame:
     """(columns ``keep``, by default ``id_col``; size, text_crc32, law, shard, slot, grown_shard) for every row.
 
     Size is the text's UTF-8 bytes plus 8; shards get equal sums of sizes up to ``tolerance`` of a shard, or up to
-    the one row a splitter falls into. Equal texts stand together and share a shard unless a shard's end falls into
-    them; a group larger than a shard is split by id, rows repeated as a whole by their place. A null text has no
+    the one row a splitter falls into. Equal texts share a shard if they have at most ``WHOLE_GROUP`` of a shard's bytes,
+    half of which a shard's end may move for it; a larger group that a shard's end falls into is split there by id, rows
+    repeated as a whole by their place. A null text has no
     bytes (size 8, CRC of the empty string); null ids are ordered like a value of their own. ``slot`` counts a shard's
     rows from 0. An empty table gives no rows. Other columns, whatever their names, do not matter.
 
@@ -150,7 +178,7 @@ def shard_rows(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_c
     sums = keyed.agg(F.sum("size").alias("size"), F.count("*").alias("rows")).first()
     total, rows = sums["size"] or 0, sums["rows"]
     ranges = max(LEAST_RANGES, min(MOST_RANGES, -(-total // (shards * RANGE_BYTES))))
-    ends = find_splitters(keyed, shards, ranges, total, rows, tolerance) if rows else []
+    ends = at_group_edges(keyed, find_splitters(keyed, shards, ranges, total, rows, tolerance), shards, ranges, total) if rows else []
     below = [0, *[x[2] for x in ends]]
     for k in range(1, len(below)):  # an empty range begins where the one before ends
         below[k] = max(below[k], below[k - 1])
