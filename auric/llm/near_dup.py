@@ -21,12 +21,12 @@ from auric.llm.arrowtext import SpanHasher, flat, lower_az, mix, slices, word_sp
 from auric.operators.identity import connected_components
 from auric.session import ensure_checkpoint_dir, stage
 
-WORDS, PERCENT = 4, 80
-#: Collections on either side; at a similarity of 0.8 a pair shares no table with probability 3e-4 at 9.
+WORDS, PERCENT = 5, 80
+#: Collections on either side; at a similarity of 0.8 a pair shares no table with probability 2e-4 at 9.
 HALVES = 9
 VALUES = 4 * HALVES
-#: A pair goes on to the full sets if so many of its MinHash values agree; at 0.8 fewer do with probability 3e-5.
-LEAST_AGREE = 19
+#: A pair goes on to the full sets if so many of its MinHash values agree; at 0.8 fewer do with probability 3e-6.
+LEAST_AGREE = 17
 #: Links of which so many agree are confirmed in the first round, besides the best of each class.
 LIKELY = 26
 SALT = np.uint64(0xA0761D6478BD642F)

@@ -6,16 +6,16 @@ from auric.llm import near_dup
 from tests.llm.cases import documents
 
 
-def shingle_set(text):
+def shingle_set(text, n=4):
     low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     for c in "\t\n\x0b\x0c\r":
         low = low.replace(c, " ")
     w = [x for x in low.split(" ") if x]
-    return frozenset(tuple(w[k: k + 4]) for k in range(len(w) - 3)) if len(w) >= 4 else frozenset([tuple(w)] if w else [])
+    return frozenset(tuple(w[k: k + n]) for k in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else [])
 
 
-def brute_force(rows):
-    sets = [(d, shingle_set(t)) for d, t in rows]
+def brute_force(rows, n=4):
+    sets = [(d, shingle_set(t, n)) for d, t in rows]
     comp = {d: d for d, _ in sets}
 
     def root(x):
@@ -38,8 +38,8 @@ def edited(words, rng, n):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_components_match_brute_force(spark, seed):
+@pytest.mark.parametrize("seed,words", [(1, 4), (2, 4), (3, near_dup.WORDS)])
+def test_components_match_brute_force(spark, seed, words):
     rng = random.Random(seed)
     rows = []
     for g in range(30):
@@ -49,8 +49,8 @@ def test_components_match_brute_force(spark, seed):
             rows.append(" ".join(edited(base, rng, rng.randrange(4))))
     rng.shuffle(rows)
     rows = list(enumerate(rows))
-    want = brute_force(rows)
-    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = brute_force(rows, words)
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=words).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
@@ -78,3 +78,7 @@ def test_tables_share_values():
     least[1, :2], least[1, -2:] = least[0, :2], least[0, -2:]
     keys = near_dup.table_keys(least)
     assert keys.shape == (2, near_dup.HALVES ** 2) and (keys[0] == keys[1]).sum() == 1
+
+
+def test_stages_take_five_words():
+    assert near_dup.WORDS == 5 and near_dup.PERCENT == 80
