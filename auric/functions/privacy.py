@@ -78,5 +78,8 @@ def digits_only(c) -> Column:
 
 
 def has_pii(c) -> Column:
-    """Row text still holding an e-mail address, a phone number or a CPF."""
-    return _c(c).rlike(EMAIL_IN_TEXT) | _c(c).rlike(PHONE_ALONE) | _c(c).rlike(CPF_IN_TEXT)
+    """Row text still holding an e-mail address, a phone number or a CPF; each pattern is tried only where a character
+    stands that it needs."""
+    t = _c(c)
+    return ((t.contains("@") & t.rlike(r"(?<![A-Za-z0-9._%+-])" + EMAIL_IN_TEXT.replace("]+@", "]++@", 1)))
+            | (t.contains("-") & (t.rlike(PHONE_ALONE) | (t.contains(".") & t.rlike(CPF_IN_TEXT)))))

@@ -36,14 +36,15 @@ def check_dimension(v, dim: int) -> Column:
     return F.size(_c(v)) == dim
 
 
-def mean_vector(df: DataFrame, key: str, vec: str) -> DataFrame:
-    """Element-wise mean of ``vec`` per ``key`` (each row counts once).
+def mean_vector(df: DataFrame, key: str, vec: str, weight: str | None = None) -> DataFrame:
+    """Element-wise mean of ``vec`` per ``key`` (each row counts once, or ``weight`` times).
 
     Exploded by position, averaged by (key, position) with partial
     aggregation, then reassembled in position order; the per-key array is
     bounded by the vector dimension."""
-    ex = df.select(key, F.posexplode(as_double(vec)).alias("pos", "x"))
-    per = ex.groupBy(key, "pos").agg(F.avg("x").alias("x"))
+    w = F.lit(1.0) if weight is None else F.col(weight).cast("double")
+    ex = df.select(key, w.alias("w"), F.posexplode(as_double(vec)).alias("pos", "x"))
+    per = ex.groupBy(key, "pos").agg((F.sum(F.col("x") * F.col("w")) / F.sum(F.when(F.col("x").isNotNull(), F.col("w")))).alias("x"))
     return per.groupBy(key).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "x"))), lambda s: s["x"]).alias(vec)
     )

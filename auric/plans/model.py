@@ -171,9 +171,9 @@ class Model:
     @cached_property
     def person_of(self) -> DataFrame:
         """usuario_id → usuario_pseudo (two-hop resolution)."""
-        return self.correspondencia.select("usuario_id", "usuario_mestre_id").join(
+        return stage(self.correspondencia.select("usuario_id", "usuario_mestre_id").join(
             self.mestre.select("usuario_mestre_id", "usuario_pseudo"), "usuario_mestre_id"
-        ).select("usuario_id", "usuario_pseudo")
+        ).select("usuario_id", "usuario_pseudo"), "person")
 
     @cached_property
     def comentario(self) -> DataFrame:
@@ -256,7 +256,7 @@ class Model:
     def fato_interacao(self) -> DataFrame:
         from auric.operators import gold
 
-        return gold.fact_interaction(self.interacao, self.person_of)
+        return stage(gold.fact_interaction(self.interacao, self.person_of), "fact")  # once for all its readers
 
     @cached_property
     def dim_usuario(self) -> DataFrame:
@@ -272,13 +272,13 @@ class Model:
     def recomendacao(self) -> DataFrame:
         from auric.operators import recommend
 
-        return recommend.recommend(self, TOP_K)
+        return stage(recommend.recommend(self, TOP_K), "recommendations")
 
     @cached_property
     def fato_recomendacao(self) -> DataFrame:
         from auric.operators import gold
 
-        return gold.fact_recommendation(self.recomendacao, self.person_of, self.fato_interacao)
+        return stage(gold.fact_recommendation(self.recomendacao, self.person_of, self.fato_interacao), "recommended")
 
     # ---- whole runs
     @cached_property

@@ -14,7 +14,7 @@ from auric.operators.joins import join_dim
 from auric.plans.registry import query
 from auric.plans.sqlmodel import CONSUMPTION, with_
 from auric.session import scratch_dir
-from auric.sources import export, files
+from auric.sources import export, files, positions, upsert
 
 RUN_ID = "execucao-teste-0001"
 PART_COLS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
@@ -53,6 +53,56 @@ SELECT event_id, json_extract_string(props, '$.k') AS k, json_extract_string(pro
                                    F.get_json_object("props", "$.ausente").alias("ausente")))
 
 
+# ---------------------------------------------------------------- files in many tasks, with positions
+def _json_array(m):
+    """The events as one JSON array over several lines a record, read back in blocks."""
+    path = scratch_dir(m.spark, "array")
+    row = F.to_json(F.struct("event_id", "event_type", F.struct(F.col("user_id").alias("id"), "props").alias("quem")))
+    first = F.col("event_id") == m.t("events").agg(F.min("event_id")).scalar()
+    lines = m.t("events").select(F.col("event_id").alias("k"), F.concat(F.when(first, "[").otherwise(","), F.regexp_replace(row, ",", ",\n ")).alias("value"))
+    end = m.spark.createDataFrame([(None, "]")], "k long, value string")
+    lines.unionByName(end).coalesce(1).sortWithinPartitions(F.col("k").asc_nulls_last()).select("value").write.text(path)
+    r = positions.read_json_array(m.spark, path, ["event_id", "event_type", "quem"])
+    return r.select("_linha", F.col("event_id").cast("long").alias("event_id"), "event_type", F.get_json_object("quem", "$.id").cast("long").alias("user_id"),
+                    F.get_json_object("quem", "$.props").alias("props"))
+
+
+query("src_json_array", """
+SELECT row_number() OVER (ORDER BY event_id) AS _linha, event_id, event_type, user_id, props FROM events""")(_json_array)
+
+
+def _csv_positions(m):
+    """Comments as one CSV file with line breaks and quotes inside its fields."""
+    path = scratch_dir(m.spark, "lines")
+    src = m.t("documents").select("doc_id", F.concat(F.lit('"'), F.col("lang"), F.lit('",\n'), F.col("source")).alias("rotulo"), "n_chars")
+    src.coalesce(1).sortWithinPartitions("doc_id").write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+    r = positions.read_csv_positions(m.spark, path, ["n_chars", "doc_id", "rotulo"])
+    return r.select("_linha", F.col("doc_id").cast("long").alias("doc_id"), F.col("n_chars").cast("long").alias("n_chars"), "rotulo")
+
+
+query("src_csv_positions", """
+SELECT row_number() OVER (ORDER BY doc_id) AS _linha, doc_id, n_chars, '"' || lang || '",' || chr(10) || source AS rotulo FROM documents""")(_csv_positions)
+
+
+# three loads of a keyed table: two thirds of the accounts, half of them with another balance, then a full one
+def _surrogates(m):
+    path = scratch_dir(m.spark, "contas")
+    c = m.t("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    key = F.col("c_custkey")
+    loads = [c.where(F.pmod(key, F.lit(3)) != 0), c.where(F.pmod(key, F.lit(2)) == 0).withColumn("c_mktsegment", F.lit("NOVO")), c.where(F.pmod(key, F.lit(5)) != 1)]
+    for n, load in enumerate(loads, 1):
+        upsert.upsert_buckets(m.spark, path, load, ["c_custkey"], "id", f"carga-{n}")
+    upsert.delete_stale(m.spark, path, "carga-3")
+    return m.spark.read.parquet(path).select("id", "c_custkey", "c_nationkey", "c_mktsegment", F.col("_carga").alias("carga"))
+
+
+query("upsert_surrogate", """
+WITH primeira AS (SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN 1 WHEN c_custkey % 2 = 0 THEN 2 ELSE 3 END AS carga FROM customer
+                   WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0 OR c_custkey % 5 <> 1),
+ids AS (SELECT c_custkey, row_number() OVER (ORDER BY carga, c_custkey) AS id FROM primeira)
+SELECT i.id, c.c_custkey, c.c_nationkey, c.c_mktsegment, 'carga-3' AS carga FROM customer c JOIN ids i USING (c_custkey) WHERE c.c_custkey % 5 <> 1""")(_surrogates)
+
+
 def _bronze_audit(m):
     path = scratch_dir(m.spark, "bronze")
     for fonte in ("catalogo", "usuarios", "interacoes", "comentarios", "recomendacoes"):
