@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle
 
 SLICE_BYTES = 1 << 20
+#: Rows of an Arrow batch; the default of 10 000 texts takes tens of MB in the JVM and again in the worker.
+BATCH_ROWS = 1024
 MULT = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
@@ -24,6 +26,13 @@ def shared(spark, value):
     return lambda: pickle.loads(sent.value)
 
 
+def bounded_batches(spark) -> None:
+    """From now on Arrow batches of this session have at most ``BATCH_ROWS`` rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "0")) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def slices(batch, text_col: str, max_bytes: int = SLICE_BYTES):
     """Yield zero-copy slices of ``batch`` with about ``max_bytes`` of text each (a longer text stands alone)."""
     size = np.asarray(pc.fill_null(pc.binary_length(batch.column(text_col)), 0))

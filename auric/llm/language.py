@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from auric.llm.arrowtext import flat, shared, slices
+from auric.llm.arrowtext import bounded_batches, flat, shared, slices
 
 #: Documents that the machines are fitted on, over all languages.
 MAX_DOCS = 4000
@@ -164,6 +164,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """Fit on ``docs``, whose rows are those to learn from: a sample of at most ``max_docs`` documents, shared evenly
     among the languages (those with the smallest hash of the id). Features of whole texts are made by the tasks;
     rows with a null id, language or text are not learnt from; None without a labelled row."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("txt")).dropna()
     langs = rows.select("lang").distinct().count()
     if not langs:
@@ -200,6 +201,7 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", keep:
     not matter."""
     keep = keep or ["doc_id"]
     names = [f"c{k}" for k in range(len(keep))]
+    bounded_batches(docs.sparkSession)
     known = shared(docs.sparkSession, model)
 
     def scan(batches):

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from auric.llm.arrowtext import SpanHasher, flat, lower_az, mix, slices, word_spans
+from auric.llm.arrowtext import SpanHasher, bounded_batches, flat, lower_az, mix, slices, word_spans
 from auric.operators.identity import connected_components
 from auric.session import ensure_checkpoint_dir, stage
 
@@ -239,6 +239,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shingles, which loses no link among them. All tables live in the shared checkpoint folder."""
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
+    bounded_batches(spark)
     docs = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__txt"))
     rows = stage(sketch(docs, "__id", "__txt", words).withColumn("rid", F.monotonically_increasing_id()), "sketch")
     full = rows.where("size > 0 and id is not null")

@@ -36,8 +36,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that with the smallest id; rows repeated with the same id and
-    text are one document, of which one row stays. Rows with a null id stay."""
+    """One document of each group of near duplicates (five words, 0.8), that with the smallest id; rows repeated with the
+    same id and text are one document, of which one row stays. Rows with a null id stay, as do null and empty texts."""
     key = ["doc_id", "text_hash"]
     found = stage(near_dup.near_duplicates(docs.select("doc_id", "text")).where("doc_id is not null"), "near")
     leave = found.groupBy(*key).agg(F.min("kept").alias("kept"), F.count("*").alias("n")).where("not kept or n > 1")
@@ -51,20 +51,23 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any passage of the benchmark."""
+    """Documents without any passage of the benchmark. Null and empty texts have none and stay, each repeated row is
+    judged on its own, null ids do no harm."""
     found = decontaminate.find_passages(as_rows(docs), table(spark, sf_dir, "benchmark"), keep=["row"])
     return only(docs, found, F.size("spans") == 0)
 
 
 def replace_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data replaced by surrogates; ``n_chars`` follows the text."""
+    """All documents, personal data replaced by surrogates; ``n_chars`` follows the text. A null text stays null (as does
+    its ``n_chars``), an empty one empty; repeated rows get equal texts, null ids do no harm."""
     new = pii.replace_pii(as_rows(docs), QUERY_KEY).select("row", "text")
     chars = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
     return new.select(*[chars.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, their number, and digests of ids and decoded text."""
+    """Token ids of every document, their number, and digests of ids and decoded text. A null or empty text has no
+    tokens; every row is answered on its own, repeated and null ids keep their rows."""
     return bpe.encode(docs, tokenizer("byte_bpe_50k.json")).select(
         "doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "token_ids")
 
