@@ -181,26 +181,23 @@ class Network:
         z -= z.max(1, keepdims=True)
         return z - np.log(np.exp(z).sum(1, keepdims=True))
 
-    def shares(self, h: np.ndarray) -> np.ndarray:
-        """The class probabilities."""
-        z = h @ self.out
-        z += self.base
-        z -= z.max(1, keepdims=True)
-        np.exp(z, out=z)
-        z /= z.sum(1, keepdims=True)
-        return z
+    def raised(self, near: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hidden layer with a column of ones, exponentials of its products with ``weights`` less each row's largest,
+        these largest)."""
+        h = np.ones((len(near), HIDDEN + 1), np.float32)
+        h[:, :HIDDEN] = self.hidden(near)
+        z = h @ weights
+        top = z.max(1)
+        z -= top[:, None]
+        return h, np.exp(z, out=z), top
 
     def logs_of(self, near: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Logarithms of the probabilities of the target classes alone."""
-        out = np.empty(len(target), np.float32)
+        out, weights = np.empty(len(target), np.float32), np.vstack([self.out, self.base])
         for a in range(0, len(target), BLOCK):
-            z = self.hidden(near[a: a + BLOCK]) @ self.out
-            z += self.base
-            top = z.max(1)
-            own = z[np.arange(len(z)), target[a: a + BLOCK]]
-            z -= top[:, None]
-            np.exp(z, out=z)
-            out[a: a + BLOCK] = own - top - np.log(z.sum(1))
+            own = target[a: a + BLOCK]
+            h, z, top = self.raised(near[a: a + BLOCK], weights)
+            out[a: a + BLOCK] = (h * weights[:, own].T).sum(1) - top - np.log(z.sum(1))
         return out
 
     def train(self, near: np.ndarray, target: np.ndarray, power: np.ndarray) -> None:
@@ -208,15 +205,19 @@ class Network:
         n = len(target)
         grad = np.zeros_like(self.flat)
         embed, shift, out, base = (grad[a:b].reshape(s) for a, b, s in zip(self.ends[:-1], self.ends[1:], self.shapes))
-        back = np.empty((n, HIDDEN), np.float32)
+        back, weights = np.empty((n, HIDDEN), np.float32), np.vstack([self.out, self.base])
+        both = np.zeros_like(weights)
         for a in range(0, n, BLOCK):
-            h = self.hidden(near[a: a + BLOCK])
-            d = self.shares(h)
-            d[np.arange(len(d)), target[a: a + BLOCK]] -= 1
-            d /= n
-            out += h.T @ d
-            base += d.sum(0)
-            back[a: a + BLOCK] = (d @ self.out.T) * (1 - h * h)
+            own = target[a: a + BLOCK]
+            h, z, _ = self.raised(near[a: a + BLOCK], weights)
+            scale = 1 / z.sum(1, keepdims=True)  # the probabilities are z * scale, which need not be written down
+            both += (h * scale).T @ z
+            both -= np.stack([np.bincount(own, h[:, k], both.shape[1]) for k in range(HIDDEN + 1)])
+            back[a: a + BLOCK] = ((z @ self.out.T) * scale - self.out[:, own].T) * (1 - h[:, :HIDDEN] ** 2)
+        both /= n
+        back /= n
+        out += both[:HIDDEN]
+        base += both[HIDDEN]
         shift += back.sum(0)
         for k in range(2 * SIDE):
             place = near[:, k, None].astype(np.int64) * HIDDEN + np.arange(HIDDEN)
