@@ -15,8 +15,9 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle
 
 SLICE_BYTES = 1 << 20
-#: Rows of an Arrow batch; the default of 10 000 texts takes tens of MB in the JVM and again in the worker.
-BATCH_ROWS = 1024
+#: Rows and bytes of an Arrow batch; 10 000 texts, or 1000 pairs of large sets, take tens or hundreds of MB in the JVM and
+#: again in the worker.
+BATCH_ROWS, BATCH_BYTES = 1024, 4 << 20
 MULT = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
@@ -27,10 +28,11 @@ def shared(spark, value):
 
 
 def bounded_batches(spark) -> None:
-    """From now on Arrow batches of this session have at most ``BATCH_ROWS`` rows."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name, "0")) <= BATCH_ROWS:
-        spark.conf.set(name, str(BATCH_ROWS))
+    """From now on Arrow batches of this session have at most ``BATCH_ROWS`` rows, and end at ``BATCH_BYTES``."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        if not 0 < int(spark.conf.get(name, "0").rstrip("b")) <= most:
+            spark.conf.set(name, str(most))
 
 
 def slices(batch, text_col: str, max_bytes: int = SLICE_BYTES):
