@@ -31,7 +31,7 @@ def bounded_batches(spark) -> None:
     """From now on Arrow batches of this session have at most ``BATCH_ROWS`` rows, and end at ``BATCH_BYTES``."""
     for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         name = f"spark.sql.execution.arrow.{name}"
-        if not 0 < int(spark.conf.get(name, "0").rstrip("b")) <= most:
+        if not 0 < int(spark.conf.get(name).rstrip("b")) <= most:
             spark.conf.set(name, str(most))
 
 
