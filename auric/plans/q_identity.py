@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from auric.operators import identity
+from auric.operators.identity_state import IdentityState
 from auric.plans.registry import query
 from auric.plans.sqlmodel import CTES, with_
+from auric.session import scratch_dir, stage
 
 
 def doc_keys(m):
@@ -60,6 +62,23 @@ def _with_reach(body: str) -> str:
 query("identity_components", _with_reach("""
 SELECT src AS doc_id, least(src, min(dst)) AS component FROM doc_reach GROUP BY src"""))(_components)
 
+#: Deliveries that bring all documents, one after the other.
+DELIVERIES = 3
+
+
+def _by_deliveries(m):
+    """Components kept from delivery to delivery; copies of a document come in any of them."""
+    state = IdentityState(m.spark, scratch_dir(m.spark, "identity"))
+    keys = stage(doc_keys(m).withColumn("entrega", F.pmod(F.xxhash64("doc_id"), F.lit(DELIVERIES))), "doc-keys")
+    for n in range(DELIVERIES):
+        state.deliver(f"entrega-{n + 1}", keys.where(F.col("entrega") == n), "doc_id", {"copia": "copia", "normalizado": "normalizado"})
+    return state.labels().withColumnRenamed("node", "doc_id")
+
+
+query("identity_incremental", _with_reach("""
+SELECT d.doc_id, least(d.doc_id, coalesce(min(r.dst), d.doc_id)) AS component
+  FROM documents d LEFT JOIN doc_reach r ON r.src = d.doc_id GROUP BY d.doc_id"""))(_by_deliveries)
+
 query("master_registry", with_("mestre") + """
 SELECT usuario_mestre_id, usuario_pseudo, nome_mascarado, email_mascarado, faixa_etaria, cidade, uf, data_cadastro,
        atualizado_em, registros_origem FROM mestre""")(lambda m: m.mestre)
