@@ -72,3 +72,36 @@ def test_rejected_users_keep_a_masked_record(spark):
     rej = model_for(spark, "/root/testdata/sf0.001").cls_usuarios.where("regra is not null")
     assert rej.count() > 0 and rej.where("registro is null").count() == 0
     assert rej.where(r"registro rlike '(?i)cliente[0-9]+@|[0-9]{11}'").count() == 0
+
+
+def test_classifying_writes_nothing_between_its_steps(spark, monkeypatch):
+    def refuse(*_, **__):
+        raise AssertionError("rows were written between the steps")
+
+    monkeypatch.setattr(classify, "stage", refuse, raising=False)
+    got = run(spark, [(L1, 2, base(1)), (L1, 3, base(1)), (L1, 4, base(2, tipo="x")), (L1, 5, base("")), (L1, 6, base(""))])
+    assert [got[(L1, i)]["regra"] for i in range(2, 7)] == [None, "DUPLICADO", "DOMINIO", "CAMPO_OBRIGATORIO", "CAMPO_OBRIGATORIO"]
+    assert got[(L1, 2)]["registro"] is None and '"tipo":"x"' in got[(L1, 4)]["registro"]
+    assert len(got[(L1, 2)]["hash_origem"]) == 32 and got[(L1, 2)]["hash_origem"] == got[(L1, 3)]["hash_origem"]
+
+
+def test_rule_counts_move_neither_texts_nor_records(spark):
+    from auric.plans.registry import model_for
+
+    plan = model_for(spark, "/root/testdata/sf0.001").cls_todos.groupBy("regra").count()._jdf.queryExecution().optimizedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "RepartitionByExpression" in line]
+    assert len(dealt) == 5 and "to_json" not in plan
+    assert not any("comentario" in line or "v_texto#" in line for line in dealt)
+
+
+def test_first_of_a_business_key_among_copies_and_rejected(spark):
+    from pyspark.sql import functions as F
+
+    from auric.operators import dedupe
+
+    rows = [("a", 1, "k", "h1", None), ("a", 1, "k", "h1", None), ("a", 2, "k", "h1", None), ("a", 3, "k", "h2", None),
+            ("a", 0, "k", "h1", "DOMINIO"), ("a", 5, None, "h3", "TIPO"), ("a", 6, None, "h3", "TIPO")]
+    df = spark.createDataFrame(rows, "_origem string, _linha long, k string, _hash string, falha string")
+    got = sorted((r["_linha"], r["e_copia"], r["conflito"]) for r in dedupe.first_by_business_key(df, ["k"], [F.col("_linha"), F.col("_origem")]).collect() if r["falha"] is None)
+    assert got == [(1, False, False), (1, False, False), (2, True, False), (3, False, True)]
+    assert all(r["e_copia"] is None for r in dedupe.first_by_business_key(df, ["k"], [F.col("_linha")]).where("falha is not null").collect())
