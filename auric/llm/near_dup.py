@@ -29,6 +29,9 @@ VALUES = 4 * HALVES
 LEAST_AGREE = 17
 #: Links of which so many agree are confirmed in the first round, besides the best of each class.
 LIKELY = 26
+#: Turns of a few pairs before all pairs of members of mixed buckets are compared that still lie across components; they
+#: spare comparisons, and lose none.
+TURNS = 2
 SALT = np.uint64(0xA0761D6478BD642F)
 #: Rows (24 bytes each) of a table that may be broadcast.
 BROADCAST_ROWS = 400_000
@@ -194,11 +197,10 @@ def across(pairs: DataFrame, comp: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where("ca != cb").select("a", "b", "ca", "cb")
 
 
-def prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, ca, cb) of ``nodes`` (node, comp) in two components that share one of their rarest shingles: of a pair at
-    the similarity, each set's size - ceil(percent / 100 * size) + 1 rarest must share one (shingles ordered alike for
-    all by their number of nodes), the first of them early enough in both. This misses no link, and what edits have
-    made unique rules a document out."""
+def prefixes(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, shingle, size, k) of the rarest shingles of each of ``nodes``, k its place among the set's: of a pair at the
+    similarity, each set's size - ceil(percent / 100 * size) + 1 rarest must share one (shingles ordered alike for all by
+    their number of nodes)."""
 
     def scan(batches):
         for batch in batches:
@@ -211,13 +213,42 @@ def prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("node").orderBy("n", "shingle"))
     # a shingle of one node cannot be shared, but takes its place among the rarest
     ranked = sets.join(count, "shingle", "left").withColumn("n", F.coalesce("n", F.lit(1))).withColumn("k", rank)
-    prefix = ranked.where(F.expr(f"k <= size - ceil({percent} * size / 100) + 1 and n > 1")).select("node", "shingle", "size", "k").join(nodes, "node")
+    return ranked.where(F.expr(f"k <= size - ceil({percent} * size / 100) + 1 and n > 1")).select("node", "shingle", "size", "k")
+
+
+def may_hold(p: str, q: str, percent: int):
+    """Whether two rows of ``prefixes`` that share a shingle may belong to a pair at the similarity that lies across components."""
+    return (F.col(f"{p}.comp") != F.col(f"{q}.comp")) & F.expr(f"100 * least({p}.size, {q}.size) >= {percent} * greatest({p}.size, {q}.size)") & F.expr(
+        # after the first shingle that they share, at most these many can follow in both
+        f"(100 + {percent}) * (1 + least({p}.size - {p}.k, {q}.size - {q}.k)) >= {percent} * ({p}.size + {q}.size)")
+
+
+def pair_of(p: str, q: str) -> list:
+    first = F.col(f"{p}.node") < F.col(f"{q}.node")
+    either = lambda c, name: F.when(first, F.col(f"{p}.{c}")).otherwise(F.col(f"{q}.{c}")).alias(name)
+    other = lambda c, name: F.when(first, F.col(f"{q}.{c}")).otherwise(F.col(f"{p}.{c}")).alias(name)
+    return [either("node", "a"), other("node", "b"), either("comp", "ca"), other("comp", "cb")]
+
+
+def drawn_pairs(prefix: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Some of the pairs of ``prefix_pairs``, fewer than two for each row of ``prefix``: of the nodes that share one of their
+    rarest shingles, one for each component, each paired with the first and the next of these; other ones each turn."""
+    early = F.expr("k div 8") if turn else F.col("k")
+    one = F.struct(early.alias("early"), F.xxhash64("node", F.lit(turn)).alias("h"), "node", "comp", "size", "k")
+    one = prefix.groupBy("shingle", "comp").agg(F.min(one).alias("p"))
+    line = Window.partitionBy("shingle").orderBy("p")
+    ends = one.select("p", F.lead("p").over(line).alias("next"), F.first("p").over(line).alias("first"))
+    ends = ends.select("p", F.explode(F.array("next", "first")).alias("q")).where(F.col("q").isNotNull())
+    return ends.where(may_hold("p", "q", percent)).select(*pair_of("p", "q")).distinct()
+
+
+def prefix_pairs(prefix: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, ca, cb) of nodes in two components that share one of their rarest shingles, the first of them early
+    enough in both (``prefix``: rows of ``prefixes`` with the node's comp). This misses no link, and what edits have made
+    unique rules a document out."""
     p, q = prefix.alias("p"), prefix.alias("q")
-    return p.join(q, (F.col("p.shingle") == F.col("q.shingle")) & (F.col("p.node") < F.col("q.node")) & (F.col("p.comp") != F.col("q.comp"))
-                  & F.expr(f"100 * least(p.size, q.size) >= {percent} * greatest(p.size, q.size)")
-                  # after the first shingle that they share, at most these many can follow in both
-                  & F.expr(f"(100 + {percent}) * (1 + least(p.size - p.k, q.size - q.k)) >= {percent} * (p.size + q.size)")).select(
-        F.col("p.node").alias("a"), F.col("q.node").alias("b"), F.col("p.comp").alias("ca"), F.col("q.comp").alias("cb")).distinct()
+    return p.join(q, (F.col("p.shingle") == F.col("q.shingle")) & (F.col("p.node") < F.col("q.node")) & may_hold("p", "q", percent)).select(
+        *pair_of("p", "q")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -278,7 +309,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mixed = where.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
     inside = stage(where.join(mixed, "key").select("node", "comp").distinct(), "mixed")
     tried = first.unionByName(rest.select("a", "b"))
-    comp = merged(comp, stage(prefix_pairs(inside, sets, percent).join(tried, ["a", "b"], "left_anti"), "more"))
+    # a large group is first joined by few pairs a node; only what then still lies across components is compared in all pairs
+    prefix = stage(prefixes(inside, sets, percent), "prefixes")
+    for turn in range(TURNS):
+        some = stage(drawn_pairs(prefix.join(comp, "node"), percent, turn).join(tried, ["a", "b"], "left_anti"), "next")
+        if some.isEmpty():
+            break
+        comp, tried = merged(comp, some), tried.unionByName(some.select("a", "b"))
+    comp = merged(comp, stage(prefix_pairs(prefix.join(comp, "node"), percent).join(tried, ["a", "b"], "left_anti"), "more"))
     named = classes.drop("least").join(comp, "node")
     names = named.groupBy("comp").agg(F.min("id").alias("component"))
     ids = named.join(names, "comp").select("size", "f0", "f1", F.col("component").alias("comp"))

@@ -82,3 +82,18 @@ def test_tables_share_values():
 
 def test_stages_take_five_words():
     assert near_dup.WORDS == 5 and near_dup.PERCENT == 80
+
+
+def test_large_group_gives_few_pairs(spark):
+    """A group of n components that share a shingle is joined by fewer than two pairs a row, not by all pairs."""
+    n = 60
+    rows = [(x, s, 10, 1) for x in range(n) for s in (7, 8)]
+    prefix = spark.createDataFrame(rows, "node long, shingle long, size long, k long").selectExpr("*", "node as comp")
+    assert near_dup.prefix_pairs(prefix, 80).count() == n * (n - 1) // 2
+    for turn in range(near_dup.TURNS):
+        found = near_dup.drawn_pairs(prefix, 80, turn).collect()
+        assert len(found) < 2 * len(rows) and all(r["a"] < r["b"] and r["ca"] != r["cb"] for r in found)
+        reached = {0}
+        while more := {x for r in found for x in (r["a"], r["b"]) if {r["a"], r["b"]} & reached} - reached:
+            reached |= more
+        assert len(reached) == n
