@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from auric.llm.arrowtext import flat, lower_az, shared, slices, word_spans
+from auric.llm.arrowtext import bounded_batches, flat, lower_az, shared, slices, word_spans
 from auric.llm.intern import intern, joined, strings, xxhash64
 from auric.session import stage
 
@@ -31,8 +31,8 @@ SCALE = 1_000_000
 WIDEN = (4, 32)
 #: Bits of each frontier map, a bound on what tasks are sent; a fuller map lets more phrases be counted, none fewer.
 MAP_BITS = 25
-BLOCK_WORDS = 1 << 18
-SLICE = 4 << 20
+BLOCK_WORDS = 1 << 17
+SLICE = 2 << 20
 SEED = 42  # of Spark's xxhash64
 SMALL_ROWS = 100_000
 
@@ -229,6 +229,7 @@ def mine(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", top: i
     A null language is ``und``; null and empty texts have no words. Repeated rows count as often as they stand there,
     ties are told apart by the phrase's bytes, an empty table or a language without phrases gives no rows, and other
     columns do not matter. Texts are read three times, and again for the languages that are not settled then."""
+    bounded_batches(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.col(text_col).alias("txt"))
     grams = stage(words(texts).where((F.col("n") >= least) | (F.col("phrase") == "")), "words")
     totals, often = grams.where("phrase = ''").select("lang", "n"), grams.where("phrase <> ''")

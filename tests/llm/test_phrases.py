@@ -67,3 +67,18 @@ def test_scores_beyond_64_bits(spark):
     big = 3_000_000_000_000
     df = spark.createDataFrame([(big, big + 1, big + 2)], "a long, l long, r long")
     assert df.select(phrases.score(df.a, df.l, df.r).alias("s")).first().s == 1_000_000 * big * big // ((big + 1) * (big + 2))
+
+
+def test_batches_are_bounded(spark):
+    """The operator's tasks get small Arrow batches, as each of a batch's texts is in memory several times over."""
+    names = {"spark.sql.execution.arrow.maxRecordsPerBatch": "10000", "spark.sql.execution.arrow.maxBytesPerBatch": "268435456"}
+    before = {c: spark.conf.get(c) for c in names}
+    try:
+        for c, v in names.items():
+            spark.conf.set(c, v)
+        docs = spark.createDataFrame([("a b", "en")], "text string, lang string")
+        phrases.mine(docs).collect()
+        assert all(int(spark.conf.get(c)) < int(v) for c, v in names.items())
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
