@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auric.llm.arrowtext import flat, lower_az, shared, slices, word_spans
+from auric.llm.arrowtext import bounded_batches, flat, lower_az, shared, slices, word_spans
 from auric.llm.decontaminate import word_bytes
 from auric.llm.intern import intern, joined, xxhash64
 from auric.session import stage
@@ -28,8 +28,8 @@ MIN_WORDS = 20
 PERCENT = 25
 SEED = 7
 #: Words interned at a time; a longer text is counted in several parts.
-BLOCK_WORDS = 1 << 18
-SLICE = 2 << 20
+BLOCK_WORDS = 1 << 16
+SLICE = 1 << 20
 
 
 class Table:
@@ -138,6 +138,7 @@ def resample(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_co
     Null and empty texts have no features and weight 0. A null id has no noise, so its score is null and it is neither
     drawn nor counted. Repeated rows are rows of their own, with ranks next to each other. An empty table gives no
     rows, an empty target is a uniform one; other columns do not matter."""
+    bounded_batches(docs.sparkSession)
     gain = gains(bucket_counts(docs, text_col, buckets), bucket_counts(target, target_col, buckets))
     h = F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")), 256), 1, 8), 16, 10).cast("long")
     noise = F.floor(F.lit(-1000.0) * F.log(-F.log((h.cast("double") + 0.5) / 4294967296.0)))

@@ -146,3 +146,16 @@ def test_resampling_of_odd_rows(spark):
     same_draw(got, *brute_resample([(i, t) for i, t, _ in ROWS], ["the quick brown fox"], 50, 7, 10_000, 5))
     assert resample.resample(documents(spark).limit(0), target).count() == 0
     assert resample.resample(documents(spark), target.limit(0)).count() == len(ROWS)
+
+
+def test_resample_bounds_batches(spark):
+    """The operator's tasks get small Arrow batches, as each of a batch's texts is in memory several times over."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "10000")
+        docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+        resample.resample(docs, docs.select("text")).collect()
+        assert int(spark.conf.get(name)) < 10000
+    finally:
+        spark.conf.set(name, before)
