@@ -46,6 +46,27 @@ def by_line(t, col="status"):
     return {r._linha: r[col] for r in t.state().collect()}
 
 
+def test_overlay_joins_nothing_before_the_first_run_and_flags_waiting_records(spark, tmp_dir):
+    t = Triage(spark, f"{tmp_dir}/q", f"{tmp_dir}/r")
+    day1 = catalog(spark, content(1), content(2, tipo="Webinar"), content(3, tipo="Webinar"), content(4, carga="x"))
+    rows = identified(day1, "catalogo", CAT)
+    first = t.overlay(rows, "catalogo", CAT)
+    assert "Join" not in first._jdf.queryExecution().optimizedPlan().toString() and first.where("_aguardava").count() == 0
+    t.record_run("r1", {"catalogo": judge_catalog(t, day1)})
+    s = t.state()
+    t.edit(s.where("_linha = 2").select(*ID, F.lit("tipo").alias("campo"), F.lit("Curso").alias("valor")))
+    t.discard(s.where("_linha = 4"))
+    twice = t.overlay(rows.unionByName(rows.where("_linha in (2, 4)")).unionByName(rows.where("_linha = 3").withColumn("_linha", F.lit(None).cast("long"))), "catalogo", CAT)
+    got = sorted((r._linha or 0, r.tipo, r._descartado, r._substituido, r._aguardava) for r in twice.collect())
+    curso = content(1)[CAT.index("tipo")]
+    assert got == [(0, "Webinar", False, False, False), (1, curso, False, False, False), *[(2, "Curso", False, True, True)] * 2,
+                   (3, "Webinar", False, False, True), *[(4, curso, True, False, False)] * 2]
+    again = judge_catalog(t, day1)
+    assert {r._linha for r in again.where("_aguardava").collect()} == {2, 3}
+    t.record_run("r2", {"catalogo": again.drop("_aguardava")})  # without the flag all rows are looked up
+    assert by_line(t) == {2: "reprocessado", 3: "pendente", 4: "descartado"}
+
+
 def test_two_rounds_of_triage(spark, tmp_dir):
     t = Triage(spark, f"{tmp_dir}/q", f"{tmp_dir}/r")
     assert t.state().count() == 0 and t.edits(restricted=True).count() == 0

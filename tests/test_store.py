@@ -184,3 +184,11 @@ def test_next_event_matches_a_search(spark, seed):
     assert sorted(map(key_of, got)) == sorted(key_of((u, c, t, tag, want(u, c, t))) for u, c, t, tag in asks)
     assert asof.next_event(m.limit(0), e, ["u", "c"], "t", "at", "nxt").count() == 0
     assert asof.next_event(m, e.limit(0), ["u", "c"], "t", "at", "nxt").where("nxt is not null").count() == 0
+
+
+def test_duplicates_move_keys_only_where_a_hash_stands_twice(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), (None, 1), (None, 1), ("b", 1), ("b", 1)], "k string, n long")
+    assert sorted((r.k or "", r.n, r["count"]) for r in S.duplicates(rows, "k", "n").collect()) == [("", 1, 2), ("b", 1, 3)]
+    none = S.duplicates(rows.dropDuplicates(), "k", "n")
+    assert none.dtypes == [("k", "string"), ("n", "bigint"), ("count", "bigint")] and none.count() == 0
+    assert "Exchange" not in none._jdf.queryExecution().executedPlan().toString()
