@@ -20,6 +20,7 @@ of its own bytes.
 
 from __future__ import annotations
 
+import functools
 import json
 
 import numpy as np
@@ -326,6 +327,12 @@ class Counter:
         return total + sums[first[1:]] - sums[first[:-1]]
 
 
+@functools.lru_cache(maxsize=1)
+def counter(definition: str) -> Counter:
+    """The counter of a worker process: its tables are compiled once and not by every task."""
+    return Counter(definition)
+
+
 def count_tokens(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 512) -> DataFrame:
     """(id_col, n_bytes, n_tokens, over_limit) for each row: whole texts, special strings inside them as one token each.
 
@@ -336,11 +343,11 @@ def count_tokens(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", t
         definition = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def scan(batches):
-        counter = Counter(definition.value)
+        tokens = counter(definition.value)
         for whole in batches:
             for batch in slices(whole, "txt"):
                 data, offsets = flat(batch.column("txt"))
-                n = counter.counts(data, offsets)
+                n = tokens.counts(data, offsets)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id"), pa.array(np.diff(offsets), pa.int64()), pa.array(n, pa.int64()), pa.array(n > limit)],
                     names=["id", "n_bytes", "n_tokens", "over_limit"])

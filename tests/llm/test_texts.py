@@ -95,6 +95,11 @@ def test_token_counts_survive_full_tables(monkeypatch):
         assert counter.counts(*flat(pa.array([t])))[0] == len(library.encode(t, add_special_tokens=False).ids)
 
 
+def test_token_counter_is_compiled_once_a_worker():
+    definition = open(FILE).read()
+    assert token_count.counter(definition) is token_count.counter(definition)
+
+
 def test_token_count_rows(spark):
     library = Tokenizer.from_file(FILE)
     got = token_count.count_tokens(documents(spark), FILE).collect()
