@@ -8,6 +8,7 @@ frequencies of hashed byte n-grams of the whole text.
 
 from __future__ import annotations
 
+import pickle
 import unicodedata
 from itertools import combinations
 
@@ -23,7 +24,7 @@ MAX_DOCS = 4000
 BUCKETS, ORDERS, ROWS = 4096, 3, 512
 #: Bytes of text that n-grams are counted of at a time.
 CHUNK = 1 << 20
-#: Features reach the driver as 16-bit numbers, multiplied by this.
+#: Features reach the task that fits the machines as 16-bit numbers, multiplied by this.
 WIDE = 256.0
 #: Parts that a language's documents are ranked in first.
 PARTS = 64
@@ -139,6 +140,13 @@ class Model:
         self.weights = np.stack([w for w, _ in machines], 1) if machines else np.zeros((BUCKETS, 0), np.float32)
         self.offset = np.array([b for _, b in machines], np.float32)
 
+    @classmethod
+    def restored(cls, fields: dict) -> Model:
+        """A model from the ``vars`` of one that was fitted elsewhere."""
+        out = cls.__new__(cls)
+        vars(out).update(fields)
+        return out
+
     def predict(self, x: np.ndarray) -> tuple[list, np.ndarray]:
         """(language, score from 0 to 1) of each row."""
         margins = ((x * np.float32(WIDE) - self.mean) / (self.scale * np.float32(np.sqrt(BUCKETS)))) @ self.weights + self.offset
@@ -162,8 +170,8 @@ class Model:
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = MAX_DOCS) -> Model | None:
     """Fit on ``docs``, whose rows are those to learn from: a sample of at most ``max_docs`` documents, shared evenly
-    among the languages (those with the smallest hash of the id). Features of whole texts are made by the tasks;
-    rows with a null id, language or text are not learnt from; None without a labelled row."""
+    among the languages (those with the smallest hash of the id). Features of whole texts are made by the tasks,
+    the machines are fitted by one task; rows with a null id, language or text are not learnt from; None without a labelled row."""
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("txt")).dropna()
     langs = rows.select("lang").distinct().count()
@@ -184,13 +192,17 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                     x = frequencies(*flat(batch.column("txt")))
                     yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("lang"), pa.array([r.tobytes() for r in (x * WIDE).astype(np.float16)], pa.binary())], names=["id", "lang", "x"])
 
+    def learn(found):
+        found = found.sort_by([("id", "ascending"), ("lang", "ascending")])
+        x = np.frombuffer(b"".join(v.as_buffer() for v in found.column("x")), np.float16).reshape(-1, BUCKETS)
+        return pa.table({"model": pa.array([pickle.dumps(vars(Model(x, found.column("lang").to_pylist())))], pa.binary())})
+
     kind = rows.schema["id"].dataType.simpleString()
     found = (rows.join(F.broadcast(ids), ["id", "lang"]).mapInArrow(scan, f"id {kind}, lang string, x binary")
-             .groupBy("id", "lang").agg(F.min("x").alias("x")).orderBy("id", "lang").toArrow())  # 8 KB a row
-    if not found.num_rows:
-        return None
-    x = np.frombuffer(b"".join(v.as_buffer() for v in found.column("x")), np.float16).reshape(-1, BUCKETS)
-    return Model(x, found.column("lang").to_pylist())
+             .groupBy("id", "lang").agg(F.min("x").alias("x")))
+    # 8 KB a document go to one task; the driver gets the machines alone
+    got = found.withColumn("all", F.lit(1)).groupBy("all").applyInArrow(learn, "model binary").first()
+    return Model.restored(pickle.loads(got["model"])) if got else None
 
 
 def identify(docs: DataFrame, model: Model | None, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -154,6 +154,19 @@ def test_language_without_labels(spark):
     assert {r.lang_pred for r in language.identify(docs, one).collect()} == {"und", "de"}
 
 
+def test_language_is_fitted_by_a_task(spark, monkeypatch):
+    """What is learnt from does not pass through the driver, which gets the machines alone."""
+    def whole(*_):
+        raise AssertionError("rows were fetched")
+
+    for name in ("toArrow", "toPandas"):
+        monkeypatch.setattr(type(spark.range(1)), name, whole)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language.fit(docs)
+    assert isinstance(model, language.Model) and model.weights.shape[0] == language.BUCKETS and len(model.langs) > 1
+    assert "x" not in vars(model) and sum(v.nbytes for v in vars(model).values() if hasattr(v, "nbytes")) < 1 << 20
+
+
 def test_families():
     assert language.family("EN-us") == "germanic" and language.family("fr") == "romance" and language.family("xx") == "other:xx"
 
