@@ -105,3 +105,37 @@ def test_first_of_a_business_key_among_copies_and_rejected(spark):
     got = sorted((r["_linha"], r["e_copia"], r["conflito"]) for r in dedupe.first_by_business_key(df, ["k"], [F.col("_linha"), F.col("_origem")]).collect() if r["falha"] is None)
     assert got == [(1, False, False), (1, False, False), (2, True, False), (3, False, True)]
     assert all(r["e_copia"] is None for r in dedupe.first_by_business_key(df, ["k"], [F.col("_linha")]).where("falha is not null").collect())
+
+
+def test_rows_are_sorted_without_a_struct_of_their_order(spark):
+    from auric.plans.registry import model_for
+
+    m = model_for(spark, "/root/testdata/sf0.001")
+    for fonte in ("interacoes", "comentarios", "recomendacoes"):
+        plan = m._classified(fonte).groupBy("regra").count()._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window [" in plan and "AS _w0" not in plan
+
+
+def test_first_of_a_business_key_with_null_places_and_a_given_number_of_partitions(spark):
+    from pyspark.sql import functions as F
+
+    from auric.operators import dedupe
+
+    rows = [("a", None, "k", "h2", None), ("b", 1, "k", "h1", None), (None, None, "k", "h1", None), ("a", 1, None, "h1", None)]
+    df = spark.createDataFrame(rows, "_origem string, _linha long, k string, _hash string, falha string")
+    got = dedupe.first_by_business_key(df, ["k"], [F.col("_linha"), F.col("_origem")], 3).collect()
+    assert {(r["_origem"], r["_linha"], r["k"]): (r["e_copia"], r["conflito"], r["primeiro"] and r["primeiro"]["_hash"]) for r in got} == {
+        (None, None, "k"): (False, False, "h1"), ("a", None, "k"): (False, True, "h1"), ("b", 1, "k"): (True, False, "h1"), ("a", 1, None): (None, None, None)}
+
+
+def test_partitions_grow_with_the_table_alone(spark, monkeypatch):
+    from auric.operators import dedupe
+
+    df = spark.range(1000)
+    assert dedupe.partitions_for(df) == 0
+    session = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for times in (2, 20):
+        monkeypatch.setattr(dedupe, "estimated_bytes", lambda d: times * session * dedupe.PARTITION_BYTES)
+        assert dedupe.partitions_for(df) == times * session + 1
+    monkeypatch.setattr(dedupe, "estimated_bytes", lambda d: 1 << 62)
+    assert dedupe.partitions_for(df) == 0

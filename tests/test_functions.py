@@ -122,3 +122,21 @@ def test_policy_denies_unknown_columns():
     from auric.operators.policy import allowed
 
     assert not allowed("usuario_mestre_id", "gold") and not allowed("new_column", "gold") and allowed("uf", "gold")
+
+
+def test_values_that_take_the_short_way(spark):
+    from auric.functions.parse import parse_ts, strict_int
+    from auric.functions.text import clean_text, missing_fields
+
+    texts = [None, "", " ", "\t", "a", " a ", "a b", "a  b", "a\tb", "\x0b\ra\n", "\u00a0", "a \f"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    want = F.nullif(F.trim(F.regexp_replace("t", r"\s+", " ")), F.lit(""))
+    assert df.where(~clean_text("t").eqNullSafe(want)).count() == 0
+    got = [r[0] for r in df.select(missing_fields(["t"])).collect()]
+    assert got == ["t" if v is None else None for v in (r[0] for r in df.select(want).collect())]
+    plan = df.select(clean_text("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN" in plan  # nothing is replaced in a text that is clean
+    ints = spark.createDataFrame([(v,) for v in ("7", " 7 ", "7.0", "-45", "7.9", "007", "1234567890", "1e3", None)], "v string")
+    assert [r[0] for r in ints.select(strict_int("v")).collect()] == [7, 7, 7, -45, None, 7, None, None, None]
+    times = spark.createDataFrame([(v,) for v in ("2024-02-29T10:00:59", "2024-02-29 10:00:59", "2023-02-29 10:00:00", "2024-01-01 24:00:00", "0000-01-01 00:00:00", "ontem", None)], "v string")
+    assert [str(r[0]) for r in times.select(parse_ts(F.col("v"))).collect()] == ["2024-02-29 10:00:59"] * 2 + ["None"] * 5
